@@ -30,25 +30,24 @@ def pair_key(a, b) -> tuple[Column, Column]:
     return F.least(_col(a), _col(b)), F.greatest(_col(a), _col(b))
 
 
-def _number_text(c) -> Column:
-    """Text ready for a cast: digit-grouping underscores out, Java's ``1d`` / ``1f`` forms refused."""
-    text = F.regexp_replace(_col(c).cast("string"), r"(?<=\d)_(?=\d)", "")
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text)
-
-
 def safe_float(c, default: float = 0.0) -> Column:
-    """Text to double, else ``default``; ``nan`` and ``inf`` are numbers and pass."""
-    return F.coalesce(_number_text(c).try_cast("double"), F.lit(float(default)))
+    """Text to double, else ``default``; ``nan`` and ``inf`` are numbers and pass.
+
+    Underscores between digits are allowed; Java's ``1d`` and ``1f`` forms are not numbers here.
+    """
+    c = _col(c).cast("string")
+    plain = F.regexp_replace(c, r"(?<=\d)_(?=\d)", "")
+    number = F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), plain.try_cast("double"))
+    return F.coalesce(number, F.lit(float(default)))
 
 
 def safe_int(c, default: int = 0) -> Column:
-    """Text to bigint; fractions are cut towards zero; anything else gives ``default``."""
-    text = _number_text(c)
-    return F.coalesce(
-        text.try_cast("bigint"),
-        text.try_cast("double").try_cast("bigint"),
-        F.lit(default).cast("bigint"),
-    )
+    """Text to bigint; fractions are cut towards zero; anything else gives ``default``.
+
+    Plain whole numbers, nearly all of them, are settled by the first cast.
+    """
+    number = safe_float(c, float("nan")).try_cast("bigint")
+    return F.coalesce(_col(c).try_cast("bigint"), number, F.lit(default).cast("bigint"))
 
 
 def fix_width(c, width: int) -> Column:

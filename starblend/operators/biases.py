@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starblend.functions import clamp
-from starblend.operators.skew import attach
+from starblend.operators.skew import KeyedRows, attach
 from starblend.workspace import Workspace
 
 
@@ -25,27 +25,33 @@ def fit_biases(
     work: Workspace | None = None,
     hot_users: DataFrame | None = None,
     hot_items: DataFrame | None = None,
+    sizes: tuple[int, int, int] = (0, 0, 0),
 ) -> tuple[DataFrame, DataFrame]:
     """``(user_id, bu)`` and ``(business_id, bi)`` after ``rounds`` alternating updates from zero.
 
     Each half-round is a join of the ratings with one bias per key and a sum with partial
     aggregation; what it yields is written out, so the next half-round starts from a short plan.
+    ``sizes`` (users, items, ratings) lets large rating sets be partitioned by user and by item once
+    instead of in every round.
     """
     work = work or Workspace(history.sparkSession)
+    users, items, rows = sizes
+    by_user = KeyedRows(history, "user_id", hot_users, users, rows)
+    by_item = KeyedRows(history, "business_id", hot_items, items, rows)
     off_mean = F.col("stars") - F.lit(float(mean))
-    item_bias = None
-    user_bias = None
-    for _ in range(rounds):
-        if item_bias is None:
-            user_bias = _shrunk_mean(history, "user_id", "bu", off_mean, lam)
-        else:
-            with_bi = attach(history, item_bias, "business_id", hot_items)
-            user_bias = _shrunk_mean(with_bi, "user_id", "bu", off_mean - F.col("bi"), lam)
-        user_bias = work.table(user_bias, "user-bias")
-        with_bu = attach(history, user_bias, "user_id", hot_users)
+    user_bias = work.table(_shrunk_mean(history, "user_id", "bu", off_mean, lam), "user-bias")
+    for last in range(1, rounds + 1):
         item_bias = work.table(
-            _shrunk_mean(with_bu, "business_id", "bi", off_mean - F.col("bu"), lam), "item-bias"
+            _shrunk_mean(by_user.attach(user_bias), "business_id", "bi", off_mean - F.col("bu"), lam),
+            "item-bias",
         )
+        if last < rounds:
+            user_bias = work.table(
+                _shrunk_mean(by_item.attach(item_bias), "user_id", "bu", off_mean - F.col("bi"), lam),
+                "user-bias",
+            )
+    by_user.release()
+    by_item.release()
     return user_bias, item_bias
 
 

@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starblend.functions import clamp
 
@@ -22,15 +23,18 @@ class Weights:
 
 
 def first_rows(rows: DataFrame, n: int, order: str = "row_id") -> DataFrame:
-    """The first ``n`` rows by the struct ``order``, without ranking all rows in one task.
+    """The first ``n`` rows by ``order``, without ranking all rows in one task.
 
-    Rows are counted per leading part of ``order`` (for file positions the file and its split, else
-    the first field), parts past the n-th row are dropped, and only what is left is sorted: ``n``
-    rows and the rest of one part.
+    ``order`` is a line number or a struct.  Rows are counted per leading part of it (a block of
+    ``n`` lines, or the struct's first field), parts past the n-th row are dropped, and only what is
+    left is sorted: ``n`` rows and the rest of one part.
     """
-    fields = rows.schema[order].dataType.fieldNames()
-    leading = ["file", "start"] if fields[:2] == ["file", "start"] else fields[:1]
-    led = rows.withColumn("_lead", F.struct(*[F.col(order)[f].alias(f) for f in leading]))
+    kind = rows.schema[order].dataType
+    if isinstance(kind, T.StructType):
+        lead = F.col(order)[kind.fieldNames()[0]]
+    else:
+        lead = F.floor(F.col(order) / n)
+    led = rows.withColumn("_lead", lead)
     sizes = led.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(
         F.sum("_n").over(W.orderBy("_lead").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)

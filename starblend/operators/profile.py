@@ -68,14 +68,22 @@ def density(by_user: DataFrame, by_item: DataFrame) -> DataFrame:
     users = by_user.agg(F.count(F.lit(1)).alias("users"), F.sum("n").alias("ratings"))
     items = by_item.agg(F.count(F.lit(1)).alias("items"))
     grid = F.col("users").cast("double") * F.col("items")
-    return users.join(F.broadcast(items), F.lit(True)).select(
-        F.coalesce(F.col("ratings"), F.lit(0)).alias("ratings"),
+    return _side_by_side(users, items).select(
+        F.coalesce("ratings", F.lit(0)).alias("ratings"),
         "users",
         "items",
         F.coalesce(F.try_divide(F.col("ratings").cast("double"), grid), F.lit(0.0)).alias("density"),
     )
 
 
+def _side_by_side(*one_row: DataFrame) -> DataFrame:
+    """Several one-row results as one row."""
+    stacked = one_row[0]
+    for other in one_row[1:]:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def unseen_ids(pairs: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Distinct ids of ``pairs`` that ``known`` lacks."""
     return pairs.select(key).distinct().join(known.select(key), key, "left_anti")
@@ -85,7 +93,7 @@ def cold_start_counts(pairs: DataFrame, by_user: DataFrame, by_item: DataFrame)
     """Number of distinct users and items to score that training never saw."""
     users = unseen_ids(pairs, by_user, "user_id").agg(F.count(F.lit(1)).alias("unseen_users"))
     items = unseen_ids(pairs, by_item, "business_id").agg(F.count(F.lit(1)).alias("unseen_items"))
-    return users.join(F.broadcast(items), F.lit(True))
+    return _side_by_side(users, items)
 
 
 def ratings_profile(

@@ -8,12 +8,16 @@ which Spark broadcasts the small side only if its measured size allows it.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 100_000
 
+# Beyond this many keys Spark will not broadcast the side with one row per key.
+BROADCAST_KEYS = 1_000_000
+ROWS_PER_PARTITION = 2_000_000
 
 Key = str | list[str]
 
@@ -31,14 +35,51 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
+class KeyedRows:
+    """A large table to be joined by one key, its hot rows apart.
+
+    With ``keys`` and ``rows`` given, a table that will be joined several times to a side too large
+    to broadcast is partitioned by the key once and kept, so each join moves only the small side.
+    """
+
+    def __init__(
+        self,
+        fact: DataFrame,
+        key: Key,
+        hot: DataFrame | None = None,
+        keys: int = 0,
+        rows: int = 0,
+    ):
+        self.key = key
+        self.hot = None if hot is None else F.broadcast(hot)
+        self.hot_rows = None if hot is None else fact.join(self.hot, key, "left_semi")
+        self.rest = fact if hot is None else fact.join(self.hot, key, "left_anti")
+        self._kept = keys > BROADCAST_KEYS
+        if self._kept:
+            shuffle = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            parts = max(shuffle, rows // ROWS_PER_PARTITION)
+            names = [key] if isinstance(key, str) else key
+            self.rest = (
+                self.rest.repartition(parts, *names)
+                .sortWithinPartitions(*names)
+                .persist(StorageLevel.DISK_ONLY)
+            )
+
+    def attach(self, dim: DataFrame, how: str = "left") -> DataFrame:
+        """Join ``dim`` (one row per key); ``how`` is ``left``, ``inner`` or ``left_semi``."""
+        joined = self.rest.join(dim, self.key, how)
+        if self.hot is None:
+            return joined
+        hot_dim = F.broadcast(dim.join(self.hot, self.key, "left_semi"))
+        return self.hot_rows.join(hot_dim, self.key, how).unionByName(joined)
+
+    def release(self) -> None:
+        if self._kept:
+            self.rest.unpersist()
+
+
 def attach(
     fact: DataFrame, dim: DataFrame, key: Key, hot: DataFrame | None = None, how: str = "left"
 ) -> DataFrame:
-    """Join ``dim`` (one row per ``key``) to ``fact``; ``how`` is ``left``, ``inner`` or ``left_semi``."""
-    if hot is None:
-        return fact.join(dim, key, how)
-    hot = F.broadcast(hot)
-    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-    in_place = fact.join(hot, key, "left_semi").join(hot_dim, key, how)
-    shuffled = fact.join(hot, key, "left_anti").join(dim, key, how)
-    return in_place.unionByName(shuffled)
+    """One join of ``dim`` (one row per ``key``) to ``fact``."""
+    return KeyedRows(fact, key, hot).attach(dim, how)

@@ -68,6 +68,8 @@ class HybridModel:
     residuals: DataFrame  # user_id = u, business_id = i, resid
     sims: DataFrame
     item_factors: DataFrame  # i, q
+    rows: int  # deduplicated training ratings
+    hot_users: DataFrame | None  # hot values of u in the training ratings, as user_id
     hot_items: DataFrame | None  # hot values of i in the training ratings
     trees: GBTRegressionModel
     by_user: DataFrame
@@ -79,21 +81,25 @@ class HybridModel:
         work, preset = self.work, self.preset
         if "truth" not in pairs.columns:
             pairs = pairs.withColumn("truth", F.lit(None).cast("double"))
-        pairs = work.table(pairs.select("row_id", "user_id", "business_id", "truth"), "pairs")
+        pairs = work.table(pairs.select("row_id", "user_id", "business_id", "truth"), "pair-lines")
         total = pairs.count()
+        pairs = sources.line_numbers(pairs)
         asked_users = work.table(profile.user_counts(pairs), "asked-users")
         asked_items = work.table(profile.item_counts(pairs), "asked-items")
         hot_users = skew.hot_keys(asked_users, "user_id", total)
         hot_items = skew.hot_keys(asked_items, "business_id", total)
 
         users = self.users.join(asked_users.select("user_id"), "user_id", "left_semi")
+        wanted = users.where(F.col("u").isNotNull()).select(F.col("u").alias("user_id"))
+        history = work.table(
+            skew.attach(self.residuals, wanted, "user_id", self.hot_users, "left_semi"),
+            "asked-history",
+            self.rows,
+        )
         if preset.implicit_alpha:
-            wanted = users.where(F.col("u").isNotNull()).select(F.col("u").alias("user_id"))
-            history = self.residuals.join(wanted, "user_id", "left_semi").select(
-                F.col("user_id").alias("u"), F.col("business_id").alias("i")
-            )
             implicit = latent.implicit_user_vectors(
-                history, self.item_factors, preset.rank, preset.implicit_alpha,
+                history.select(F.col("user_id").alias("u"), F.col("business_id").alias("i")),
+                self.item_factors, preset.rank, preset.implicit_alpha,
                 user="u", item="i", hot_items=self.hot_items,
             )
             vectors = latent.user_vectors(
@@ -126,7 +132,7 @@ class HybridModel:
         )
         moves = neighbours.cf_adjustments(
             targets.select(F.col("u").alias("user_id"), F.col("i").alias("business_id")),
-            self.residuals,
+            history,
             self.sims,
             work,
             preset.threshold,
@@ -189,8 +195,11 @@ class HybridRecommender:
     def fit(self, ratings: DataFrame, sides: Sides | None = None) -> HybridModel:
         spark, preset, sides = ratings.sparkSession, self.preset, sides or Sides()
         work = Workspace(spark)
-        raw = work.table(ratings.select("user_id", "business_id", "stars", "row_id"), "ratings")
+        raw = work.table(
+            ratings.select("user_id", "business_id", "stars", "row_id"), "rating-lines"
+        )
         total = raw.count()
+        raw = sources.line_numbers(raw)
         mean = profile.global_mean(raw).first()["global_mean"]
 
         by_user = work.table(
@@ -209,19 +218,23 @@ class HybridRecommender:
             coded.select(F.col("u").alias("user_id"), F.col("i").alias("business_id"),
                          "stars", "item_rows", "row_id"),
             "coded",
+            total,
         )
         hot_u = skew.hot_keys(by_user.select(F.col("u").alias("user_id"), "n"), "user_id", total)
         hot_i = skew.hot_keys(
             by_item.select(F.col("i").alias("business_id"), "n"), "business_id", total
         )
 
-        history = work.table(profile.dedupe_ratings(coded), "history")
+        history = work.table(profile.dedupe_ratings(coded), "history", total)
+        rows = history.count()
         user_bias, item_bias = biases.fit_biases(
-            history, mean, preset.bias_lam, preset.bias_rounds, work, hot_u, hot_i
+            history, mean, preset.bias_lam, preset.bias_rounds, work, hot_u, hot_i,
+            (by_user.count(), by_item.count(), rows),
         )
         residuals = work.table(
             neighbours.history_residuals(history, user_bias, item_bias, mean, hot_u, hot_i),
             "residuals",
+            total,
         )
 
         capped = neighbours.cap_user_items(
@@ -234,7 +247,7 @@ class HybridRecommender:
 
         user_factors, item_factors = latent.fit_latent(
             residuals.select(F.col("user_id").alias("u"), F.col("business_id").alias("i"), "resid"),
-            preset.rank, preset.latent_rounds, preset.latent_reg, residuals.count(), preset.seed,
+            preset.rank, preset.latent_rounds, preset.latent_reg, rows, preset.seed,
         )
         user_factors = work.table(user_factors, "user-factors")
         item_factors = work.table(item_factors, "item-factors")
@@ -252,18 +265,22 @@ class HybridRecommender:
         train = coded.select(F.col("user_id").alias("u"), F.col("business_id").alias("i"), "stars")
         by_u = users.where(F.col("u").isNotNull()).drop("user_id")
         by_i = items.where(F.col("i").isNotNull()).drop("business_id")
-        hot_u = None if hot_u is None else hot_u.withColumnRenamed("user_id", "u")
         hot_i = None if hot_i is None else hot_i.withColumnRenamed("business_id", "i")
-        train = skew.attach(skew.attach(train, by_u, "u", hot_u), by_i, "i", hot_i)
-        train = work.table(features.fill_defaults(train.drop("u", "i")), "train-features")
+        train = skew.attach(
+            train, by_u, "u", None if hot_u is None else hot_u.withColumnRenamed("user_id", "u")
+        )
+        train = skew.attach(train, by_i, "i", hot_i)
+        train = work.table(
+            features.fill_defaults(train.drop("u", "i")), "train-features", total
+        )
         trees = boosted.fit_boosted(
             features.assemble_features(train), preset.trees, preset.depth, preset.rate,
             preset.row_share, preset.column_share, preset.min_rows, preset.seed,
         )
         return HybridModel(
             preset=preset, work=work, mean=mean, users=user_state, items=item_state,
-            residuals=residuals, sims=sims, item_factors=item_factors, hot_items=hot_i,
-            trees=trees, by_user=by_user, by_item=by_item,
+            residuals=residuals, sims=sims, item_factors=item_factors, rows=rows,
+            hot_users=hot_u, hot_items=hot_i, trees=trees, by_user=by_user, by_item=by_item,
         )
 
     @staticmethod

@@ -1,5 +1,6 @@
 from starblend.sources.readers import (
     first_line,
+    line_numbers,
     optional_source,
     read_businesses,
     read_checkins,
@@ -14,6 +15,7 @@ from starblend.sources.writers import write_predictions
 
 __all__ = [
     "first_line",
+    "line_numbers",
     "optional_source",
     "read_businesses",
     "read_checkins",

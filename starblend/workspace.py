@@ -13,6 +13,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FILES_PER_CORE = 2
+MIN_FILE_ROWS = 10_000
+MAX_FILE_ROWS = 2_000_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a fresh one is set only in local mode and only if unset."""
@@ -42,12 +46,28 @@ class Workspace:
         self._count += 1
         return f"{self.root}/{self._count:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return a scan of what was written."""
+    def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write ``df`` and return a scan of what was written.
+
+        Repetitive columns shrink so much in parquet that a scan would get too few, too long tasks.
+        Where the number of ``rows`` is known it bounds the rows per file: a few files for each
+        core of the cluster, each of a size that stays the same as the data grows.
+        """
         path = self.path(name)
-        df.write.parquet(path)
+        writer = df.write
+        if rows is not None:
+            per_core = rows // (FILES_PER_CORE * self.spark.sparkContext.defaultParallelism)
+            per_file = min(max(per_core, MIN_FILE_ROWS), MAX_FILE_ROWS)
+            writer = writer.option("maxRecordsPerFile", per_file)
+        writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def close(self) -> None:
         """Delete the job's tables; call it once nothing reads them any more."""
         jvm = self.spark.sparkContext._jvm
