@@ -126,8 +126,7 @@ def bag_of_terms(rows: DataFrame, terms: str, size: int, output: str) -> DataFra
     """
     ranked = vocabulary(rows.select(F.explode(terms).alias("term")), size).collect()
     if not ranked:
-        empty = array_to_vector(F.array().cast("array<double>"))
-        return rows.withColumn(output, empty)
+        return rows.withColumn(output, array_to_vector(F.array(F.lit(0.0))))
     model = CountVectorizerModel.from_vocabulary(
         [r["term"] for r in ranked], inputCol=terms, outputCol=output
     )

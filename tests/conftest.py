@@ -31,7 +31,7 @@ def planted(spark):
     held = rng.random((users, items)) < 0.2
     side = np.stack([bi + rng.normal(0, 0.1, items), -bi + rng.normal(0, 0.1, items)], axis=1)
     rows = [
-        (f"u{u:03d}", f"b{b:03d}", float(stars[u, b]), bool(held[u, b]), u * items + b)
+        (f"u{u:03d}", f"b{b:03d}", float(stars[u, b]), bool(held[u, b]), int(u * items + b))
         for u, b in zip(*np.nonzero(seen))
     ]
     table = spark.createDataFrame(
