@@ -8,7 +8,8 @@ from pyspark.sql import Window as W
 
 from starblend.functions import clamp, pair_key, signed_power, winsorise
 from starblend.operators.biases import bias_score
-from starblend.operators.skew import attach
+from starblend.operators.profile import key_counts
+from starblend.operators.skew import attach, hot_keys
 from starblend.workspace import Workspace
 
 # Fixed value: pairs of items with fewer common raters have no similarity.
@@ -113,36 +114,48 @@ def neighbour_candidates(
         weights.select(F.col("item_b").alias("business_id"), F.col("item_a").alias("neighbour"), "w")
     )
 
-    wanted_users = targets.groupBy("user_id").agg(F.count(F.lit(1)).alias("asked"))
+    asked_users = targets.groupBy("user_id").agg(F.count(F.lit(1)).alias("asked"))
     user_load = work.table(
-        history.groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("history_rows"))
-        .join(wanted_users, "user_id")
-        .select("user_id", "history_rows",
-                _splits(F.col("history_rows") * F.col("asked")).alias("user_splits")),
+        key_counts(history, "user_id")
+        .withColumnRenamed("n", "history_rows")
+        .join(asked_users, "user_id")
+        .withColumn("user_splits", _splits(F.col("history_rows") * F.col("asked"))),
         "user-load",
     )
-    wanted_items = targets.groupBy("business_id").agg(F.count(F.lit(1)).alias("asked"))
+    asked_items = targets.groupBy("business_id").agg(F.count(F.lit(1)).alias("asked"))
     item_load = work.table(
-        both_ways.groupBy("business_id")
-        .agg(F.count(F.lit(1)).alias("list_rows"))
-        .join(wanted_items, "business_id")
-        .select("business_id", "list_rows",
-                _splits(F.col("list_rows") * F.col("asked")).alias("item_splits")),
+        key_counts(both_ways, "business_id")
+        .withColumnRenamed("n", "list_rows")
+        .join(asked_items, "business_id")
+        .withColumn("item_splits", _splits(F.col("list_rows") * F.col("asked"))),
         "item-load",
     )
-    planned = work.table(
-        targets.join(user_load, "user_id").join(item_load, "business_id"), "targets"
+
+    def hot(load: DataFrame, key: str, rows: str) -> DataFrame | None:
+        sized = load.select(key, F.col(rows).alias("n"))
+        return hot_keys(sized, key, sized.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+    planned = attach(
+        targets, user_load.drop("asked"), "user_id", hot(user_load, "user_id", "asked"), "inner"
+    )
+    planned = attach(
+        planned, item_load.drop("asked"), "business_id", hot(item_load, "business_id", "asked"), "inner"
     )
+    planned = work.table(planned, "targets")
+    history_splits = attach(
+        history, user_load.select("user_id", "user_splits"), "user_id",
+        hot(user_load, "user_id", "history_rows"), "inner",
+    ).select("*", _every_split("user_splits"))
+    list_splits = attach(
+        both_ways, item_load.select("business_id", "item_splits"), "business_id",
+        hot(item_load, "business_id", "list_rows"), "inner",
+    ).select("*", _every_split("item_splits"))
 
     from_history = (
         planned.where(F.col("history_rows") <= F.col("list_rows"))
         .withColumn("split", F.pmod(F.xxhash64("business_id"), F.col("user_splits")).cast("int"))
         .select("user_id", "split", "business_id")
-        .join(
-            history.join(user_load, "user_id").select("*", _every_split("user_splits")),
-            ["user_id", "split"],
-        )
+        .join(history_splits, ["user_id", "split"])
         .where(F.col("neighbour") != F.col("business_id"))
     )
     item_a, item_b = pair_key("business_id", "neighbour")
@@ -156,10 +169,7 @@ def neighbour_candidates(
         planned.where(F.col("history_rows") > F.col("list_rows"))
         .withColumn("split", F.pmod(F.xxhash64("user_id"), F.col("item_splits")).cast("int"))
         .select("user_id", "split", "business_id")
-        .join(
-            both_ways.join(item_load, "business_id").select("*", _every_split("item_splits")),
-            ["business_id", "split"],
-        )
+        .join(list_splits, ["business_id", "split"])
         .join(history, ["user_id", "neighbour"])
         .select("user_id", "business_id", "neighbour", "w", "resid")
     )

@@ -83,7 +83,6 @@ class HybridModel:
             pairs = pairs.withColumn("truth", F.lit(None).cast("double"))
         pairs = work.table(pairs.select("row_id", "user_id", "business_id", "truth"), "pair-lines")
         total = pairs.count()
-        pairs = sources.line_numbers(pairs)
         asked_users = work.table(profile.user_counts(pairs), "asked-users")
         asked_items = work.table(profile.item_counts(pairs), "asked-items")
         hot_users = skew.hot_keys(asked_users, "user_id", total)
@@ -108,7 +107,7 @@ class HybridModel:
             users = users.drop("p").join(vectors, "u", "left")
         users = work.table(users, "asked-user-table")
 
-        wide = skew.attach(pairs, users, "user_id", hot_users)
+        wide = skew.attach(sources.line_numbers(pairs), users, "user_id", hot_users)
         wide = skew.attach(wide, self.items, "business_id", hot_items)
         wide = wide.withColumns(
             {
@@ -199,7 +198,6 @@ class HybridRecommender:
             ratings.select("user_id", "business_id", "stars", "row_id"), "rating-lines"
         )
         total = raw.count()
-        raw = sources.line_numbers(raw)
         mean = profile.global_mean(raw).first()["global_mean"]
 
         by_user = work.table(
@@ -210,7 +208,9 @@ class HybridRecommender:
         )
         hot_users = skew.hot_keys(by_user, "user_id", total)
         hot_items = skew.hot_keys(by_item, "business_id", total)
-        coded = skew.attach(raw, by_user.select("user_id", "u"), "user_id", hot_users, "inner")
+        coded = skew.attach(
+            sources.line_numbers(raw), by_user.select("user_id", "u"), "user_id", hot_users, "inner"
+        )
         coded = skew.attach(
             coded, by_item.withColumnRenamed("n", "item_rows"), "business_id", hot_items, "inner"
         )

@@ -13,8 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-FILES_PER_CORE = 2
-MIN_FILE_ROWS = 10_000
+FILES_PER_CORE = 4
+MIN_FILE_ROWS = 5_000
 MAX_FILE_ROWS = 2_000_000
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starblend.operators import neighbours, skew
 from starblend.plans.recommender import MODELS, HybridRecommender, Sides, run_job
+from starblend.workspace import Workspace
 
 SMALL = {"trees": 3, "depth": 3, "rank": 4, "latent_rounds": 2}
 
@@ -109,9 +110,21 @@ def test_absent_sides(spark, tmp_path):
     assert sides == Sides()
 
 
-def test_closing_deletes_the_tables(spark, planted):
-    model = HybridRecommender(**SMALL).fit(planted[0].limit(500))
-    root = model.work.root.replace("file:", "")
+def test_closing_deletes_the_tables(spark):
+    work = Workspace(spark)
+    stored = work.table(spark.range(100), "numbers", 100)
+    assert stored.count() == 100
+    root = work.root.replace("file:", "")
     assert Path(root).exists()
-    model.work.close()
+    work.close()
     assert not Path(root).exists()
+
+
+def test_written_tables_go_to_the_named_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert Workspace(spark).root.startswith(named.rstrip("/"))
+
+
+def test_rows_per_file_are_bounded(spark, work):
+    few = work.table(spark.range(0, 100_000, 1, 1), "few", 100_000)
+    assert len(few.inputFiles()) >= 2 * spark.sparkContext.defaultParallelism

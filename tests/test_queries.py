@@ -25,10 +25,16 @@ def test_query_matches_its_sql(spark, con, name):
     assert differences(spark, con, QUERIES[name], ORACLES[name], FOLDER) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+# ``test_entry`` and the pipeline tests run the whole pipeline already.
+LOOSE = sorted(q for q in set(QUERIES) - set(ORACLES) if not q.startswith("hybrid"))
+
+
+@pytest.mark.parametrize("name", LOOSE)
 def test_query_without_sql_gives_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
 def test_entry(spark):
-    assert {"bias", "cf", "latent", "boosted", "prediction"} <= set(entry.entry(spark).columns)
+    rows = entry.entry(spark)
+    assert {"bias", "cf", "latent", "boosted", "prediction"} <= set(rows.columns)
+    assert rows.where("prediction NOT BETWEEN 1 AND 5").count() == 0 < rows.count()
