@@ -24,7 +24,7 @@ from starblend.operators import (
 )
 from starblend.operators.blend import Weights
 from starblend.plans.presets import PRESETS, STABLE, Preset
-from starblend.workspace import Workspace
+from starblend.workspace import Workspace, side_by_side
 
 MODELS = ["bias", "cf", "latent", "boosted"]
 
@@ -225,62 +225,87 @@ class HybridRecommender:
             by_item.select(F.col("i").alias("business_id"), "n"), "business_id", total
         )
 
-        history = work.table(profile.dedupe_ratings(coded), "history", total)
-        rows = history.count()
-        user_bias, item_bias = biases.fit_biases(
-            history, mean, preset.bias_lam, preset.bias_rounds, work, hot_u, hot_i,
-            (by_user.count(), by_item.count(), rows),
-        )
-        residuals = work.table(
-            neighbours.history_residuals(history, user_bias, item_bias, mean, hot_u, hot_i),
-            "residuals",
-            total,
-        )
+        def predictors():
+            """Biases, residuals and factors."""
+            history = work.table(profile.dedupe_ratings(coded), "history", total)
+            rows = history.count()
+            user_bias, item_bias = biases.fit_biases(
+                history, mean, preset.bias_lam, preset.bias_rounds, work, hot_u, hot_i,
+                (by_user.count(), by_item.count(), rows),
+            )
+            residuals = work.table(
+                neighbours.history_residuals(history, user_bias, item_bias, mean, hot_u, hot_i),
+                "residuals",
+                total,
+            )
+            factors = latent.fit_latent(
+                residuals.select(
+                    F.col("user_id").alias("u"), F.col("business_id").alias("i"), "resid"
+                ),
+                preset.rank, preset.latent_rounds, preset.latent_reg, rows, preset.seed,
+            )
+            user_factors = work.table(factors[0], "user-factors")
+            item_factors = work.table(factors[1], "item-factors")
+            return rows, residuals, user_bias, item_bias, user_factors, item_factors
+
+        def similarities():
+            capped = neighbours.cap_user_items(
+                coded.select("user_id", "business_id", "stars", "item_rows"),
+                preset.items_per_user,
+                "stars",
+            ).where(F.col("item_rows") >= neighbours.MIN_SUPPORT)
+            return work.table(
+                neighbours.item_similarities(capped, preset.shrink, preset.threshold),
+                "similarities",
+            )
 
-        capped = neighbours.cap_user_items(
-            coded.select("user_id", "business_id", "stars", "item_rows"), preset.items_per_user,
-            "stars",
-        ).where(F.col("item_rows") >= neighbours.MIN_SUPPORT)
-        sims = work.table(
-            neighbours.item_similarities(capped, preset.shrink, preset.threshold), "similarities"
-        )
+        def feature_trees():
+            """Side tables, and the trees fitted on the features of every rating row."""
+            users, items = self._side_tables(sides, by_user, by_item, work)
+            by_u = users.where(F.col("u").isNotNull()).drop("user_id")
+            by_i = items.where(F.col("i").isNotNull()).drop("business_id")
+            rows = coded.select(
+                F.col("user_id").alias("u"), F.col("business_id").alias("i"), "stars"
+            )
+            rows = skew.attach(rows, by_u, "u", renamed(hot_u, "user_id", "u"))
+            rows = skew.attach(rows, by_i, "i", renamed(hot_i, "business_id", "i"))
+            rows = work.table(
+                features.fill_defaults(rows.drop("u", "i")), "train-features", total
+            )
+            trees = boosted.fit_boosted(
+                features.assemble_features(rows), preset.trees, preset.depth, preset.rate,
+                preset.row_share, preset.column_share, preset.min_rows, preset.seed,
+            )
+            return users, items, trees
 
-        user_factors, item_factors = latent.fit_latent(
-            residuals.select(F.col("user_id").alias("u"), F.col("business_id").alias("i"), "resid"),
-            preset.rank, preset.latent_rounds, preset.latent_reg, rows, preset.seed,
-        )
-        user_factors = work.table(user_factors, "user-factors")
-        item_factors = work.table(item_factors, "item-factors")
+        def renamed(keys, old, new):
+            return None if keys is None else keys.withColumnRenamed(old, new)
 
-        users, items = self._side_tables(sides, by_user, by_item, work)
+        learned, sims, (users, items, trees) = side_by_side(
+            spark, predictors, similarities, feature_trees
+        )
+        rows, residuals, user_bias, item_bias, user_factors, item_factors = learned
         user_state = users.join(
             user_bias.withColumnRenamed("user_id", "u"), "u", "left"
         ).join(user_factors, "u", "left")
         item_state = items.join(
             item_bias.withColumnRenamed("business_id", "i"), "i", "left"
         ).join(item_factors, "i", "left")
-        user_state = work.table(user_state, "user-state")
-        item_state = work.table(item_state, "item-state")
-
-        train = coded.select(F.col("user_id").alias("u"), F.col("business_id").alias("i"), "stars")
-        by_u = users.where(F.col("u").isNotNull()).drop("user_id")
-        by_i = items.where(F.col("i").isNotNull()).drop("business_id")
-        hot_i = None if hot_i is None else hot_i.withColumnRenamed("business_id", "i")
-        train = skew.attach(
-            train, by_u, "u", None if hot_u is None else hot_u.withColumnRenamed("user_id", "u")
-        )
-        train = skew.attach(train, by_i, "i", hot_i)
-        train = work.table(
-            features.fill_defaults(train.drop("u", "i")), "train-features", total
-        )
-        trees = boosted.fit_boosted(
-            features.assemble_features(train), preset.trees, preset.depth, preset.rate,
-            preset.row_share, preset.column_share, preset.min_rows, preset.seed,
-        )
         return HybridModel(
-            preset=preset, work=work, mean=mean, users=user_state, items=item_state,
-            residuals=residuals, sims=sims, item_factors=item_factors, rows=rows,
-            hot_users=hot_u, hot_items=hot_i, trees=trees, by_user=by_user, by_item=by_item,
+            preset=preset,
+            work=work,
+            mean=mean,
+            users=work.table(user_state, "user-state"),
+            items=work.table(item_state, "item-state"),
+            residuals=residuals,
+            sims=sims,
+            item_factors=item_factors,
+            rows=rows,
+            hot_users=hot_u,
+            hot_items=renamed(hot_i, "business_id", "i"),
+            trees=trees,
+            by_user=by_user,
+            by_item=by_item,
         )
 
     @staticmethod

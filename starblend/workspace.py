@@ -8,9 +8,13 @@ the table may be broadcast.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 FILES_PER_CORE = 4
@@ -40,11 +44,10 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/job-{uuid.uuid4().hex}"
-        self._count = 0
+        self._numbers = itertools.count(1)
 
     def path(self, name: str) -> str:
-        self._count += 1
-        return f"{self.root}/{self._count:03d}-{name}"
+        return f"{self.root}/{next(self._numbers):03d}-{name}"
 
     def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         """Write ``df`` and return a scan of what was written.
@@ -74,3 +77,14 @@ class Workspace:
         folder = jvm.org.apache.hadoop.fs.Path(self.root)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         folder.getFileSystem(conf).delete(folder, True)
+
+
+def side_by_side(spark: SparkSession, *branches: Callable) -> list:
+    """Results of independent parts of a job, submitted at the same time.
+
+    Tree fitting is many short stages that leave cores idle; other parts can use them.
+    """
+    start = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(branches)) as pool:
+        running = [pool.submit(start(branch)) for branch in branches]
+        return [branch.result() for branch in running]
