@@ -34,6 +34,8 @@ def fit_biases(
     ``sizes`` (users, items, ratings) lets large rating sets be partitioned by user and by item once
     instead of in every round.
     """
+    if rounds < 1:
+        raise ValueError("at least one round is needed")
     work = work or Workspace(history.sparkSession)
     users, items, rows = sizes
     by_user = KeyedRows(history, "user_id", hot_users, users, rows)

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 from starblend.functions import clamp
 
 
+# Lines counted together when the first rows of an input are looked for.
+BLOCK_LINES = 1_000_000
+
+
 @dataclass(frozen=True)
 class Weights:
     """One weight per model, and a constant."""
@@ -26,14 +30,14 @@ def first_rows(rows: DataFrame, n: int, order: str = "row_id") -> DataFrame:
     """The first ``n`` rows by ``order``, without ranking all rows in one task.
 
     ``order`` is a line number or a struct.  Rows are counted per leading part of it (a block of
-    ``n`` lines, or the struct's first field), parts past the n-th row are dropped, and only what is
-    left is sorted: ``n`` rows and the rest of one part.
+    lines, or the struct's first field), parts past the n-th row are dropped, and only what is left
+    is sorted: ``n`` rows and the rest of one part.
     """
     kind = rows.schema[order].dataType
     if isinstance(kind, T.StructType):
         lead = F.col(order)[kind.fieldNames()[0]]
     else:
-        lead = F.floor(F.col(order) / n)
+        lead = F.floor(F.col(order) / max(n, BLOCK_LINES))
     led = rows.withColumn("_lead", lead)
     sizes = led.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(

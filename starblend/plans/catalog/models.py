@@ -494,6 +494,15 @@ def hybrid(spark, sf):
     return predicted.drop("row_id")
 
 
+@query(f"""{BIASED}, {_sims_sql(STABLE.shrink)}, {_cf_sql(STABLE)}
+SELECT user_id, business_id, truth, {sql_r6("bias")} AS bias, {sql_r6("cf")} AS cf FROM scored""")
+def hybrid_bias_cf(spark, sf):
+    """The two predictors of the whole run that SQL can state."""
+    model = hybrid_model(spark, sf)
+    scored = model.score(tables.test_rows(tables.rating_rows(spark, sf)))
+    return rounded(scored.select("user_id", "business_id", "truth", "bias", "cf"), "bias", "cf")
+
+
 @query()
 def hybrid_aggressive(spark, sf):
     model = hybrid_model(spark, sf, "aggressive")

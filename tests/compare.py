@@ -13,6 +13,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages
 benchmark labels conversations""".split()
 
+SAME_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+
 
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -41,11 +43,10 @@ def differences(spark, con, query, sql, folder) -> list[str]:
     wrong = [(a, b) for a, b in zip(mine, theirs) if a != b]
     if wrong:
         problems.append(f"{len(wrong)} rows differ, first {wrong[0]}")
-    if mine and theirs and not problems:
-        kinds = [(type(a), type(b)) for a, b in zip(mine[0], theirs[0])
-                 if a is not None and b is not None and type(a) is not type(b)]
-        if kinds:
-            problems.append(f"types {kinds}")
+    kinds = {c: k for c, k in found.dtypes}
+    for column in con.execute(f"DESCRIBE {sql}").fetchall():
+        if SAME_TYPE.get(column[1]) != kinds.get(column[0]):
+            problems.append(f"type of {column[0]}: {kinds.get(column[0])} against {column[1]}")
     return problems
 
 

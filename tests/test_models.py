@@ -127,7 +127,8 @@ def test_blend_score_is_clamped(spark):
     assert [r["prediction"] for r in found] == [5.0, 1.0]
 
 
-def test_first_rows(spark):
+def test_first_rows(spark, monkeypatch):
+    monkeypatch.setattr(blend, "BLOCK_LINES", 50)
     rows = spark.range(1000).select((F.lit(999) - F.col("id")).alias("row_id")).repartition(4)
     found = sorted(r["row_id"] for r in blend.first_rows(rows.where("row_id % 3 = 0"), 100).collect())
     assert found == list(range(0, 300, 3))
