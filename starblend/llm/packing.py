@@ -2,9 +2,9 @@
 
 Texts become pieces of at most ``capacity`` tokens.  Only the histogram of their lengths, at most
 ``capacity`` rows, reaches the driver.  There lengths are placed longest first, each into the pack pattern
-that is filled least, a pattern counting for all sequences that look alike.  What is left unfilled is closed
-by cutting: pieces of the emptiest packs fill the gaps of the others.  The patterns are joined back to the pieces
-by their rank among the pieces of the same length.
+that is filled least, a pattern counting for all sequences that look alike.  The patterns are joined back to the
+pieces by their rank among the pieces of the same length.  A sequence is padded to the capacity, unless what it
+holds is a power of two.
 
 Size of what is broadcast: placing a length splits at most one pattern and opens at most one, so there are at
 most ``2 * capacity`` patterns, and a pattern holds at most ``sqrt(2 * capacity)`` different lengths; for 4096 that

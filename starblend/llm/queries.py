@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starblend.llm import chat, huffman, jaccard, packing, voronoi
+import corpus_pipeline
+from starblend.llm import chat, huffman, jaccard, mixing, nbsvm, packing, page_diff, rules, toxicity, voronoi
 from starblend.llm.common import table, workspace
-
-TOKENIZER = "word_bpe_49k.json"
-END_ID = 2
+from starblend.llm.settings import DOMAIN_TARGETS, END_ID, QUALITY_THRESHOLD, TOXIC_THRESHOLD, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +48,37 @@ def op1_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(vectors, 10, workspace(spark))
 
 
+@query()
+def op2_nearest_url_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract(table(spark, sf_dir, "pages"), workspace(spark))
+
+
+@query()
+def op3_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), workspace(spark))
+
+
+def _predicted(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+@query()
+def op7_naive_bayes_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predicted(nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), QUALITY_THRESHOLD)
+
+
+@query()
+def op8_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predicted(toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), TOXIC_THRESHOLD)
+
+
+@query()
+def op9_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = mixing.language_labels(docs, table(spark, sf_dir, "labels"))
+    return mixing.rates(docs.select("doc_id", "text"), labelled, DOMAIN_TARGETS, workspace(spark))
+
+
 @query("""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -78,12 +108,6 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(table(spark, sf_dir, "documents"), workspace(spark))
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(TOKENIZER)
-
-
 @query()
 def op4_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
@@ -105,3 +129,8 @@ def op6_incremental_chat_rendering(spark: SparkSession, sf_dir: str) -> DataFram
     extra = spark.createDataFrame([(-1, 0, "user", hostile), (-1, 1, "assistant", hostile)], turns.schema)
     formatted = workspace(spark).table(chat.format_turns(turns.unionByName(extra)), "formatted")
     return chat.digests(formatted)
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
