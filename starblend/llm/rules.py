@@ -178,8 +178,9 @@ def _grow(rows: DataFrame, edges: dict[str, list[float]], most: int) -> Rule:
         best, gain = None, 1e-9
         for name, boxes in tally.items():
             p = n = 0
-            for (a, b), edge in zip(boxes, edges[name]):
-                p, n = p + a, n + b
+            upper = [*edges[name][1:], edges[name][-1]]
+            for (a, b), low, high in zip(boxes, edges[name], upper):
+                p, n, edge = p + a, n + b, (low + high) / 2
                 for above, p1, n1 in ((False, p, n), (True, p0 - p, n0 - n)):
                     if p1:
                         g = p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0)))
