@@ -22,11 +22,13 @@ def main() -> None:
     model, predicted = run_job(
         spark, given.ratings, given.pairs, given.output, given.sides, given.preset
     )
-    print("weights", model.weights)
-    if not predicted.where("truth IS NOT NULL").isEmpty():
-        for name, report in model.evaluate(predicted).items():
-            print(name)
-            report.show(truncate=False)
+    if predicted.where("truth IS NOT NULL").isEmpty():
+        reports = {"weights": model.weight_rows(spark), "profile": model.profile(predicted)}
+    else:
+        reports = model.evaluate(predicted)
+    for name, report in reports.items():
+        print(name)
+        report.show(report.count(), truncate=False)
     model.work.close()
     spark.stop()
 

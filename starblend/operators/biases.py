@@ -25,21 +25,20 @@ def fit_biases(
     work: Workspace | None = None,
     hot_users: DataFrame | None = None,
     hot_items: DataFrame | None = None,
-    sizes: tuple[int, int, int] = (0, 0, 0),
+    rows: int = 0,
 ) -> tuple[DataFrame, DataFrame]:
     """``(user_id, bu)`` and ``(business_id, bi)`` after ``rounds`` alternating updates from zero.
 
     Each half-round is a join of the ratings with one bias per key and a sum with partial
     aggregation; what it yields is written out, so the next half-round starts from a short plan.
-    ``sizes`` (users, items, ratings) lets large rating sets be partitioned by user and by item once
-    instead of in every round.
+    Where the biases are too large to broadcast, the ratings, ``rows`` of them, are stored in buckets by user
+    and by item once instead of being shuffled in every round.
     """
     if rounds < 1:
         raise ValueError("at least one round is needed")
-    work = work or Workspace(history.sparkSession)
-    users, items, rows = sizes
-    by_user = KeyedRows(history, "user_id", hot_users, users, rows)
-    by_item = KeyedRows(history, "business_id", hot_items, items, rows)
+    work = work or Workspace(history.sparkSession).close_at_exit()
+    by_user = KeyedRows(history, "user_id", hot_users, work, rows)
+    by_item = KeyedRows(history, "business_id", hot_items, work, rows)
     off_mean = F.col("stars") - F.lit(float(mean))
     user_bias = work.table(_shrunk_mean(history, "user_id", "bu", off_mean, lam), "user-bias")
     for last in range(1, rounds + 1):

@@ -26,7 +26,7 @@ from starblend.operators.pca import pca_project
 from starblend.operators.profile import key_counts
 from starblend.workspace import Workspace
 
-# Vocabulary sizes and component counts.
+# Vocabulary sizes (defaults, a preset may name others) and component counts.
 CATEGORY_TERMS, CATEGORY_PCS = 60, 6
 CITY_TERMS, CITY_PCS = 120, 5
 STATE_TERMS, STATE_PCS = 25, 4
@@ -204,12 +204,18 @@ def business_columns(businesses: DataFrame) -> DataFrame:
     )
 
 
-def business_features(businesses: DataFrame, work: Workspace) -> DataFrame:
-    """``business_id`` and its 29 features from the business file."""
+def business_features(
+    businesses: DataFrame,
+    work: Workspace,
+    category_terms: int = CATEGORY_TERMS,
+    city_terms: int = CITY_TERMS,
+    state_terms: int = STATE_TERMS,
+) -> DataFrame:
+    """``business_id`` and its 29 features from the business file; the sizes are those of the vocabularies."""
     plain = work.table(business_columns(businesses), "business-columns")
-    vectors = bag_of_terms(plain, "category_terms", CATEGORY_TERMS, "category_vector")
-    vectors = bag_of_terms(vectors, "city_terms", CITY_TERMS, "city_vector")
-    vectors = bag_of_terms(vectors, "state_terms", STATE_TERMS, "state_vector")
+    vectors = bag_of_terms(plain, "category_terms", category_terms, "category_vector")
+    vectors = bag_of_terms(vectors, "city_terms", city_terms, "city_vector")
+    vectors = bag_of_terms(vectors, "state_terms", state_terms, "state_vector")
     staged = work.table(
         vectors.drop("category_terms", "city_terms", "state_terms"), "business-vectors"
     )

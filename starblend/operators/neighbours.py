@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from starblend.functions import clamp, pair_key, signed_power, winsorise
 from starblend.operators.biases import bias_score
 from starblend.operators.profile import key_counts
-from starblend.operators.skew import attach, hot_keys
+from starblend.operators.skew import attach, hot_by, hot_keys
 from starblend.workspace import Workspace
 
 # Fixed value: pairs of items with fewer common raters have no similarity.
@@ -18,9 +18,15 @@ MIN_SUPPORT = 3
 # Candidate rows one task should produce; a user or item that yields more is split.
 ROWS_PER_SPLIT = 4_000_000
 
+# Rows of one user that are paired in one piece; the rows of a user with more are paired block by block.
+USER_BLOCK = 2_000
 
-def cap_user_items(ratings: DataFrame, cap: int = 320, tie: str | Column | None = None) -> DataFrame:
-    """The first ``cap`` rows of each user by item id (then by ``tie``).
+# Sums are taken over stars less this, the middle of the scale, so that little cancels.
+MIDDLE = 3.0
+
+
+def cap_user_items(ratings: DataFrame, cap: int, tie: str | Column | None = None) -> DataFrame:
+    """The first ``cap`` rows of each user by item id (then by ``tie``).  Drops data: nothing caps by default.
 
     A row-number filter against a constant is applied once before the shuffle and once after it, so
     a user with a third of all ratings sends at most ``cap`` rows per input task.
@@ -30,45 +36,83 @@ def cap_user_items(ratings: DataFrame, cap: int = 320, tie: str | Column | None
     return ratings.withColumn("_place", place).where(F.col("_place") <= cap).drop("_place")
 
 
-def item_pairs(capped: DataFrame) -> DataFrame:
+def heavy_users(ratings: DataFrame, block: int | None = None) -> DataFrame | None:
+    """``user_id, blocks`` of the users whose rows are paired block by block; None if there are none."""
+    block = USER_BLOCK if block is None else block
+    counts = key_counts(ratings, "user_id")
+    found = counts.where(F.col("n") > block).select(
+        "user_id", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("blocks")
+    )
+    return None if found.isEmpty() else found
+
+
+def item_pairs(ratings: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """``item_a < item_b, a, b``: the stars of every user who rated both items.
 
-    A user has at most ``cap`` rows here, which bounds what one key of the join can produce.
+    The rows of a ``heavy`` user are dealt to blocks, and each pair of blocks is joined under a key of its own,
+    so one key yields about block squared rows however many items the user rated.  The pairs are the same.
     """
-    left = capped.select("user_id", F.col("business_id").alias("item_a"), F.col("stars").alias("a"))
-    right = capped.select("user_id", F.col("business_id").alias("item_b"), F.col("stars").alias("b"))
-    return left.join(right, "user_id").where(F.col("item_a") < F.col("item_b")).drop("user_id")
+    rows = ratings.select("user_id", "business_id", "stars")
 
+    def paired(side: DataFrame, keys: list[str], once: Column) -> DataFrame:
+        left = side.withColumnsRenamed({"business_id": "item_a", "stars": "a", "_own": "_own_a"})
+        right = side.withColumnsRenamed({"business_id": "item_b", "stars": "b", "_own": "_own_b"})
+        return left.join(right, keys).where((F.col("item_a") < F.col("item_b")) & once).select(
+            "item_a", "item_b", "a", "b"
+        )
 
-def item_similarities(capped: DataFrame, shrink: float = 5.0, at_least: float = 0.0) -> DataFrame:
+    if heavy is None:
+        return paired(rows, ["user_id"], F.lit(True))
+    light = paired(rows.join(heavy, "user_id", "left_anti"), ["user_id"], F.lit(True))
+    own = F.pmod(F.xxhash64("business_id", "stars"), F.col("blocks")).cast("int")
+    blocked = (
+        rows.join(heavy, "user_id")
+        .withColumn("_own", own)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "user_id", "business_id", "stars", "_own",
+            F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"),
+        )
+    )
+    # within a block all its pairs, between two blocks only the pairs that cross
+    crosses = (F.col("_i") == F.col("_j")) | (F.col("_own_a") != F.col("_own_b"))
+    return light.unionByName(paired(blocked, ["user_id", "_i", "_j"], crosses))
+
+
+def item_similarities(
+    ratings: DataFrame, shrink: float = 5.0, at_least: float = 0.0, heavy: DataFrame | None = None
+) -> DataFrame:
     """``item_a, item_b, sim, n``: Pearson correlation over common raters times n / (n + shrink).
 
     Moments are summed on the map side first, so the rows of a very popular pair never meet in one
     task.  Pairs with too few raters, or with an item that all of them rated alike, are left out.
     """
     n = F.col("n").cast("double")
+    x, y = F.col("a") - F.lit(MIDDLE), F.col("b") - F.lit(MIDDLE)
     numerator = n * F.col("sab") - F.col("sa") * F.col("sb")
     spread_a = n * F.col("saa") - F.col("sa") * F.col("sa")
     spread_b = n * F.col("sbb") - F.col("sb") * F.col("sb")
     moments = (
-        item_pairs(capped)
+        item_pairs(ratings, heavy)
         .groupBy("item_a", "item_b")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum("a").alias("sa"),
-            F.sum("b").alias("sb"),
-            F.sum(F.col("a") * F.col("a")).alias("saa"),
-            F.sum(F.col("b") * F.col("b")).alias("sbb"),
-            F.sum(F.col("a") * F.col("b")).alias("sab"),
+            F.sum(x).alias("sa"),
+            F.sum(y).alias("sb"),
+            F.sum(x * x).alias("saa"),
+            F.sum(y * y).alias("sbb"),
+            F.sum(x * y).alias("sab"),
+            (F.min("a") < F.max("a")).alias("a_varies"),
+            (F.min("b") < F.max("b")).alias("b_varies"),
         )
         .where(F.col("n") >= MIN_SUPPORT)
-        .where((spread_a > 0) & (spread_b > 0))
+        .where(F.col("a_varies") & F.col("b_varies"))
     )
-    pearson = F.try_divide(numerator, F.sqrt(spread_a) * F.sqrt(spread_b))
+    pearson = clamp(F.try_divide(numerator, F.sqrt(spread_a) * F.sqrt(spread_b)), -1.0, 1.0)
     shrunk = pearson * (n / (n + F.lit(float(shrink))))
     return (
         moments.select("item_a", "item_b", shrunk.alias("sim"), "n")
-        .where(F.col("sim").isNotNull())
+        .where(F.col("sim").isNotNull() & ~F.isnan("sim"))
         .where(F.abs("sim") >= F.lit(float(at_least)))
     )
 
@@ -108,74 +152,73 @@ def neighbour_candidates(
     the two, so a user who rated almost everything costs no more than the item's list.  A user or
     item that still yields many rows is spread over several splits of its own.
     """
-    both_ways = weights.select(
-        F.col("item_a").alias("business_id"), F.col("item_b").alias("neighbour"), "w"
-    ).unionByName(
-        weights.select(F.col("item_b").alias("business_id"), F.col("item_a").alias("neighbour"), "w")
-    )
-
-    asked_users = targets.groupBy("user_id").agg(F.count(F.lit(1)).alias("asked"))
-    user_load = work.table(
-        key_counts(history, "user_id")
-        .withColumnRenamed("n", "history_rows")
-        .join(asked_users, "user_id")
-        .withColumn("user_splits", _splits(F.col("history_rows") * F.col("asked"))),
-        "user-load",
+    asked = targets.select("business_id").distinct()
+    lists = (
+        weights.select(F.col("item_a").alias("business_id"), F.col("item_b").alias("neighbour"), "w")
+        .unionByName(weights.select(F.col("item_b").alias("business_id"), F.col("item_a").alias("neighbour"), "w"))
+        .join(asked, "business_id", "left_semi")
     )
-    asked_items = targets.groupBy("business_id").agg(F.count(F.lit(1)).alias("asked"))
-    item_load = work.table(
-        key_counts(both_ways, "business_id")
-        .withColumnRenamed("n", "list_rows")
-        .join(asked_items, "business_id")
-        .withColumn("item_splits", _splits(F.col("list_rows") * F.col("asked"))),
-        "item-load",
+    lists = work.table(lists, "asked-lists")
+
+    def load(rows: DataFrame, key: str, name: str) -> DataFrame:
+        """``key``, its rows on this side as ``name``, and its targets; keys without targets are left out."""
+        asked = targets.groupBy(key).agg(F.count(F.lit(1)).alias("asked"))
+        return work.table(key_counts(rows, key).withColumnRenamed("n", name).join(asked, key), name)
+
+    users, items = load(history, "user_id", "history_rows"), load(lists, "business_id", "list_rows")
+    planned = attach(targets, users.drop("asked"), "user_id", hot_by(users, "user_id", "asked"), "inner")
+    planned = attach(planned, items.drop("asked"), "business_id", hot_by(items, "business_id", "asked"), "inner")
+    planned = work.table(
+        planned.withColumn("by_history", F.col("history_rows") <= F.col("list_rows")), "targets"
     )
 
-    def hot(load: DataFrame, key: str, rows: str) -> DataFrame | None:
-        sized = load.select(key, F.col(rows).alias("n"))
-        return hot_keys(sized, key, sized.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    def spread(rows: DataFrame, routed: DataFrame, key: str, size: str, hot: DataFrame | None) -> DataFrame:
+        """``rows`` of the keys that ``routed`` targets take, once for each split of their key."""
+        splits = routed.groupBy(key).agg(
+            _splits(F.first(size) * F.count(F.lit(1))).alias("splits")
+        )
+        return attach(rows, splits, key, hot, "inner").select("*", _every_split("splits"))
 
-    planned = attach(
-        targets, user_load.drop("asked"), "user_id", hot(user_load, "user_id", "asked"), "inner"
-    )
-    planned = attach(
-        planned, item_load.drop("asked"), "business_id", hot(item_load, "business_id", "asked"), "inner"
-    )
-    planned = work.table(planned, "targets")
-    history_splits = attach(
-        history, user_load.select("user_id", "user_splits"), "user_id",
-        hot(user_load, "user_id", "history_rows"), "inner",
-    ).select("*", _every_split("user_splits"))
-    list_splits = attach(
-        both_ways, item_load.select("business_id", "item_splits"), "business_id",
-        hot(item_load, "business_id", "list_rows"), "inner",
-    ).select("*", _every_split("item_splits"))
+    def parted(routed: DataFrame, key: str, size: str, other: str, hot: DataFrame | None) -> DataFrame:
+        """``routed`` targets, each at one split of its key."""
+        splits = routed.groupBy(key).agg(_splits(F.first(size) * F.count(F.lit(1))).alias("splits"))
+        part = F.pmod(F.xxhash64(other), F.col("splits")).cast("int").alias("split")
+        return attach(routed, splits, key, hot, "inner").select("user_id", "business_id", part)
 
+    by_history, by_list = planned.where("by_history"), planned.where("NOT by_history")
     from_history = (
-        planned.where(F.col("history_rows") <= F.col("list_rows"))
-        .withColumn("split", F.pmod(F.xxhash64("business_id"), F.col("user_splits")).cast("int"))
-        .select("user_id", "split", "business_id")
-        .join(history_splits, ["user_id", "split"])
+        parted(by_history, "user_id", "history_rows", "business_id", hot_by(users, "user_id", "asked"))
+        .join(spread(history, by_history, "user_id", "history_rows", hot_by(users, "user_id", "history_rows")), ["user_id", "split"])
         .where(F.col("neighbour") != F.col("business_id"))
+        .select("user_id", "business_id", "neighbour", "resid")
     )
-    item_a, item_b = pair_key("business_id", "neighbour")
-    from_history = (
-        from_history.withColumns({"item_a": item_a, "item_b": item_b})
-        .join(weights, ["item_a", "item_b"])
-        .select("user_id", "business_id", "neighbour", "w", "resid")
-    )
-
+    from_history = attach(
+        from_history, lists, ["business_id", "neighbour"], _hot_pairs(from_history, items), "inner"
+    ).select("user_id", "business_id", "neighbour", "w", "resid")
     from_list = (
-        planned.where(F.col("history_rows") > F.col("list_rows"))
-        .withColumn("split", F.pmod(F.xxhash64("user_id"), F.col("item_splits")).cast("int"))
-        .select("user_id", "split", "business_id")
-        .join(list_splits, ["business_id", "split"])
+        parted(by_list, "business_id", "list_rows", "user_id", hot_by(items, "business_id", "asked"))
+        .join(spread(lists, by_list, "business_id", "list_rows", hot_by(items, "business_id", "list_rows")), ["business_id", "split"])
         .join(history, ["user_id", "neighbour"])
         .select("user_id", "business_id", "neighbour", "w", "resid")
     )
     return from_history.unionByName(from_list)
 
 
+def _hot_pairs(candidates: DataFrame, items: DataFrame) -> DataFrame | None:
+    """Pairs of a target item and a neighbour with too many candidates for one task.
+
+    Only an item that is asked that often can be in one, so without such an item nothing is counted.
+    """
+    hot_items = hot_by(items, "business_id", "asked")
+    if hot_items is None:
+        return None
+    pair = ["business_id", "neighbour"]
+    counts = candidates.join(F.broadcast(hot_items), "business_id", "left_semi").groupBy(*pair).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return hot_keys(counts, pair, counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+
 def cf_adjustments(
     targets: DataFrame,
     residuals: DataFrame,
@@ -233,17 +276,24 @@ def cf_predict(
     work: Workspace | None = None,
 ) -> DataFrame:
     """``pairs`` with columns ``cf`` and ``support``; the bias estimate where no neighbour helps."""
-    work = work or Workspace(pairs.sparkSession)
+    work = work or Workspace(pairs.sparkSession).close_at_exit()
+    pairs = work.table(pairs, "pairs")
     targets = work.table(
         pairs.select("user_id", "business_id").dropna().distinct(), "distinct-pairs"
     )
     rated = history.join(targets.select("user_id").distinct(), "user_id", "left_semi")
     residuals = work.table(
-        history_residuals(rated, user_bias, item_bias, mean), "residuals"
+        history_residuals(
+            rated, user_bias, item_bias, mean,
+            hot_by(key_counts(history, "user_id"), "user_id"), hot_by(key_counts(history, "business_id"), "business_id"),
+        ),
+        "residuals",
     )
     moves = cf_adjustments(targets, residuals, sims, work, threshold, k, alpha, resid_cap)
-    joined = pairs.join(moves, ["user_id", "business_id"], "left")
-    joined = attach(attach(joined, user_bias, "user_id"), item_bias, "business_id")
+    repeated = pairs.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = attach(pairs, moves, ["user_id", "business_id"], hot_by(repeated, ["user_id", "business_id"]))
+    joined = attach(joined, user_bias, "user_id", hot_by(key_counts(pairs, "user_id"), "user_id"))
+    joined = attach(joined, item_bias, "business_id", hot_by(key_counts(pairs, "business_id"), "business_id"))
     return joined.withColumns(
         {
             "cf": cf_score(bias_score(mean), gate),

@@ -15,7 +15,10 @@ def global_mean(ratings: DataFrame) -> DataFrame:
 
 
 def dedupe_ratings(ratings: DataFrame, order: str | Column = "row_id") -> DataFrame:
-    """One row per (user, item) with the stars that come last by ``order``."""
+    """One row per (user, item) with the stars that come last by ``order``.
+
+    With a number as ``order`` the aggregation hashes; a struct makes it sort, so number the lines first.
+    """
     order = F.col(order) if isinstance(order, str) else order
     return ratings.groupBy("user_id", "business_id").agg(F.max_by("stars", order).alias("stars"))
 
@@ -108,13 +111,13 @@ def ratings_profile(
         ]
         return one_row.select(F.inline(F.array(*entries)))
 
-    histogram = rating_histogram(ratings).select(
-        F.concat(F.lit("stars_"), F.col("stars")).alias("metric"), F.col("n").cast("double").alias("value")
-    )
+    # one pass over the ratings gives the mean and the histogram; the rest comes from the counts
+    stars = F.col("stars").cast("int")
+    levels = [F.count_if(stars == s).alias(f"stars_{s}") for s in range(1, 6)]
+    mean = F.coalesce(F.avg("stars"), F.lit(EMPTY_MEAN)).alias("global_mean")
     return (
-        rows(global_mean(ratings))
+        rows(ratings.agg(mean, *levels))
         .unionByName(rows(density(by_user, by_item)))
-        .unionByName(histogram)
         .unionByName(rows(count_profile(by_user), "user_"))
         .unionByName(rows(count_profile(by_item), "item_"))
         .unionByName(rows(cold_start_counts(pairs, by_user, by_item)))

@@ -8,16 +8,18 @@ which Spark broadcasts the small side only if its measured size allows it.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starblend.workspace import Workspace
+
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 100_000
 
-# Beyond this many keys Spark will not broadcast the side with one row per key.
-BROADCAST_KEYS = 1_000_000
 ROWS_PER_PARTITION = 2_000_000
+MAX_BUCKETS = 100_000
 
 Key = str | list[str]
 
@@ -35,11 +37,25 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
+def hot_by(counts: DataFrame, key: Key, size: str = "n") -> DataFrame | None:
+    """``hot_keys`` of ``counts`` by the column ``size``; one small job tells that no key is hot."""
+    total = counts.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
+    if total[1] < HOT_ROWS:
+        return None
+    return hot_keys(counts.withColumnRenamed(size, "n"), key, total[0])
+
+
+def too_large_to_broadcast(dim: DataFrame) -> bool:
+    """Whether Spark's own size of ``dim``, measured if it is a stored table, is beyond its broadcast limit."""
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size > dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 class KeyedRows:
     """A large table to be joined by one key, its hot rows apart.
 
-    With ``keys`` and ``rows`` given, a table that will be joined several times to a side too large
-    to broadcast is partitioned by the key once and kept, so each join moves only the small side.
+    With ``work`` given the table will be joined several times.  Once a side turns out too large to broadcast,
+    the rows are stored in buckets of the key in the shared folder, so each join moves only that side.
     """
 
     def __init__(
@@ -47,26 +63,32 @@ class KeyedRows:
         fact: DataFrame,
         key: Key,
         hot: DataFrame | None = None,
-        keys: int = 0,
+        work: Workspace | None = None,
         rows: int = 0,
     ):
         self.key = key
         self.hot = None if hot is None else F.broadcast(hot)
         self.hot_rows = None if hot is None else fact.join(self.hot, key, "left_semi")
         self.rest = fact if hot is None else fact.join(self.hot, key, "left_anti")
-        self._kept = keys > BROADCAST_KEYS
-        if self._kept:
-            shuffle = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            parts = max(shuffle, rows // ROWS_PER_PARTITION)
-            names = [key] if isinstance(key, str) else key
-            self.rest = (
-                self.rest.repartition(parts, *names)
-                .sortWithinPartitions(*names)
-                .persist(StorageLevel.DISK_ONLY)
-            )
+        self._work, self._rows = work, rows
+        self._table: str | None = None
+
+    def _keep(self) -> None:
+        spark = self.rest.sparkSession
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = min(MAX_BUCKETS, max(shuffle, self._rows // ROWS_PER_PARTITION))
+        names = [self.key] if isinstance(self.key, str) else self.key
+        self._table = f"kept_{uuid.uuid4().hex}"
+        (
+            self.rest.repartition(parts, *names).write.bucketBy(parts, *names).sortBy(*names)
+            .option("path", self._work.path("kept")).saveAsTable(self._table)
+        )
+        self.rest = spark.table(self._table)
 
     def attach(self, dim: DataFrame, how: str = "left") -> DataFrame:
         """Join ``dim`` (one row per key); ``how`` is ``left``, ``inner`` or ``left_semi``."""
+        if self._work is not None and self._table is None and too_large_to_broadcast(dim):
+            self._keep()
         joined = self.rest.join(dim, self.key, how)
         if self.hot is None:
             return joined
@@ -74,8 +96,9 @@ class KeyedRows:
         return self.hot_rows.join(hot_dim, self.key, how).unionByName(joined)
 
     def release(self) -> None:
-        if self._kept:
-            self.rest.unpersist()
+        """Forget the stored copy; its files go with the workspace."""
+        if self._table is not None:
+            self.rest.sparkSession.sql(f"DROP TABLE IF EXISTS {self._table}")
 
 
 def attach(

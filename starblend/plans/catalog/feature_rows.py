@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from starblend.functions.profiles import COMPLIMENTS, DAYS
 from starblend.operators import features, pca, profile
 from starblend.plans import tables
-from starblend.plans.catalog.registry import query, r6, ratings_sql, rounded, sql_r6
-from starblend.workspace import Workspace
+from starblend.plans.catalog.registry import query, r6, ratings_sql, rounded, space, sql_r6
 
 _TOTAL = " + ".join(
     f"(c_custkey * {i + 1} + c_nationkey) % {i + 5}" for i in range(len(COMPLIMENTS))
@@ -56,12 +55,12 @@ def business_columns(spark, sf):
 
 @query()
 def user_features(spark, sf):
-    return features.user_features(tables.side_users(spark, sf), Workspace(spark))
+    return features.user_features(tables.side_users(spark, sf), space(spark))
 
 
 @query()
 def business_features(spark, sf):
-    return features.business_features(tables.side_businesses(spark, sf), Workspace(spark))
+    return features.business_features(tables.side_businesses(spark, sf), space(spark))
 
 
 @query("""
@@ -79,8 +78,7 @@ def tip_counts(spark, sf):
 
 
 @query("""
-SELECT l_suppkey AS business_id, count(*) AS photo_count
-FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey""")
+SELECT l_partkey AS business_id, count(*) AS photo_count FROM lineitem GROUP BY l_partkey""")
 def photo_counts(spark, sf):
     return features.photo_counts(tables.side_photos(spark, sf))
 
@@ -95,6 +93,16 @@ def vocabulary_categories(spark, sf):
     return features.vocabulary(terms, features.CATEGORY_TERMS)
 
 
+@query("""
+SELECT term, count(*) AS n FROM (
+  SELECT lower(unnest(string_split(p_name, ' '))) AS term FROM part WHERE p_partkey % 8 > 0)
+GROUP BY term ORDER BY n DESC, term LIMIT 5""")
+def vocabulary_limited(spark, sf):
+    """More terms than the vocabulary holds: the most frequent stay, ties in term order."""
+    columns = features.business_columns(tables.side_businesses(spark, sf))
+    return features.vocabulary(columns.select(F.explode("category_terms").alias("term")), 5)
+
+
 @query("""
 SELECT lower(p_brand) AS term, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, term LIMIT 120""")
 def vocabulary_cities(spark, sf):
@@ -155,7 +163,7 @@ def _feature_tables(spark, sf):
     """User and business tables without component scores, and the training rows."""
     train = tables.train_rows(tables.rating_rows(spark, sf))
     users = features.user_columns(tables.side_users(spark, sf)).drop("compliments", "row_id")
-    # customers past a point are missing from the user file
+    # every tenth customer and part is missing from its file: unknown ids take the defaults
     users = users.where(F.col("user_id") % 10 > 0)
     businesses = features.business_columns(tables.side_businesses(spark, sf)).drop(
         "category_terms", "city_terms", "state_terms", "row_id"
@@ -191,8 +199,7 @@ ch AS (SELECT user_id AS business_id, sum(CAST(json_extract(props, '$.k') AS BIG
        FROM events GROUP BY user_id),
 ti AS (SELECT l_suppkey AS business_id, count(*) AS tip_count, sum(l_linenumber) AS tip_likes
        FROM lineitem GROUP BY l_suppkey),
-ph AS (SELECT l_suppkey AS business_id, count(*) AS photo_count
-       FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey)
+ph AS (SELECT l_partkey AS business_id, count(*) AS photo_count FROM lineitem GROUP BY l_partkey)
 SELECT r.user_id, r.business_id, l_orderkey, l_linenumber, {", ".join(columns)}
 FROM {rows} r
 LEFT JOIN (SELECT * FROM users WHERE user_id % 10 > 0) USING (user_id)

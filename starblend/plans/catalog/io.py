@@ -7,22 +7,21 @@ from pyspark.sql import functions as F
 from starblend import sources
 from starblend.functions.profiles import COMPLIMENTS
 from starblend.operators import biases, profile
-from starblend.plans.catalog.registry import biases_sql, query, ratings_sql
-from starblend.plans.tables import load, rating_rows, test_rows, train_rows
-from starblend.workspace import Workspace
+from starblend.plans.catalog.registry import biases_sql, query, ratings_sql, space
+from starblend.plans.tables import line_order, load, rating_rows, test_rows, train_rows
 
 DENSE = f"WITH {ratings_sql()}"
 
 
 def _write_lines(lines, spark, name):
     """A text file whose parts each start with a header, as a writer with headers makes them."""
-    path = Workspace(spark).path(name)
+    path = space(spark).path(name)
     lines.write.option("header", True).option("quote", "").option("emptyValue", "").csv(path)
     return path
 
 
 def _write_json(rows, spark, name):
-    path = Workspace(spark).path(name)
+    path = space(spark).path(name)
     rows.write.json(path)
     return path
 
@@ -48,7 +47,7 @@ def read_pairs(spark, sf):
     line = F.when(
         F.col("row_id.l_orderkey") % 3 != 0, F.concat_ws(",", "user_id", "business_id", "truth")
     ).otherwise(F.concat_ws(",", "user_id", "business_id"))
-    path = Workspace(spark).path("pairs-text")
+    path = space(spark).path("pairs-text")
     pairs.select(line.alias("user_id,business_id,stars")).write.option("header", True).option(
         "quote", ""
     ).option("sep", "\t").csv(path)
@@ -118,28 +117,52 @@ def read_tips(spark, sf):
     return sources.read_tips(spark, _write_json(rows, spark, "tips-json")).drop("row_id")
 
 
-@query("SELECT CAST(l_suppkey AS VARCHAR) AS business_id FROM lineitem WHERE l_returnflag = 'R'")
+@query("SELECT CAST(l_partkey AS VARCHAR) AS business_id FROM lineitem")
 def read_photos(spark, sf):
-    rows = load(spark, sf, "lineitem").where("l_returnflag = 'R'").select(
-        F.col("l_suppkey").cast("string").alias("business_id"), F.col("l_returnflag").alias("label")
+    rows = load(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("string").alias("business_id"), F.col("l_returnflag").alias("label")
     )
     return sources.read_photos(spark, _write_json(rows, spark, "photos-json")).drop("row_id")
 
 
-@query(f"""{DENSE}, {biases_sql(rounds=1)}
+@query(f"""{DENSE}, {biases_sql()}
 SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(business_id AS VARCHAR) AS business_id,
   printf('%.3f', greatest(1, least(5, m + coalesce(bu, 0) + coalesce(bi, 0)))) AS prediction
-FROM test LEFT JOIN u1 USING (user_id) LEFT JOIN b1 USING (business_id), g""")
+FROM test LEFT JOIN u4 USING (user_id) LEFT JOIN b4 USING (business_id), g""")
 def write_predictions(spark, sf):
     """Written, then read back as text."""
+    work = space(spark)
     ratings = rating_rows(spark, sf)
     train = train_rows(ratings)
     mean = profile.global_mean(train).first()["global_mean"]
-    bu, bi = biases.fit_biases(profile.dedupe_ratings(train), mean, rounds=1)
+    history = work.table(profile.dedupe_ratings(train, line_order()), "history")
+    bu, bi = biases.fit_biases(history, mean, work=work)
     scored = biases.bias_predict(test_rows(ratings), bu, bi, mean)
-    path = Workspace(spark).path("predictions")
+    path = work.path("predictions")
     sources.write_predictions(scored, path, "bias")
     return (
         spark.read.schema("user_id string, business_id string, prediction string")
         .option("header", True).csv(path)
     )
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS user_id, CAST(o_custkey AS VARCHAR) AS business_id,
+  row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id
+FROM orders""")
+def line_numbers(spark, sf):
+    """Parts in the order of their keys, with copies of the header throughout, read in many splits."""
+    work = space(spark)
+    head = "user_id,business_id,stars"
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", F.lit("3"))
+    first = load(spark, sf, "orders").agg(F.min("o_orderkey")).first()[0]
+    copies = F.when(
+        (F.col("o_orderkey") % 7 == 0) | (F.col("o_orderkey") == first), F.array(F.lit(head), line)
+    ).otherwise(F.array(line))
+    path = work.path("lines-text")
+    (
+        load(spark, sf, "orders").repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey")
+        .select(F.explode(copies).alias("value")).write.text(path)
+    )
+    numbered = sources.line_numbers(work.table(sources.read_ratings(spark, path), "lines"))
+    return numbered.select("user_id", "business_id", "row_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -23,11 +25,11 @@ from starblend.plans.catalog.registry import (
     r6,
     ratings_sql,
     rounded,
+    space,
     sql_r6,
 )
 from starblend.plans.presets import AGGRESSIVE, STABLE
 from starblend.plans.recommender import HybridRecommender, Sides
-from starblend.workspace import Workspace
 
 DENSE = f"WITH {ratings_sql()}"
 SPARSE = f"WITH {ratings_sql('l_partkey')}"
@@ -44,11 +46,13 @@ class _Fitted:
     """Train rows, history, mean and biases of one rating view."""
 
     def __init__(self, spark, sf, item="l_suppkey"):
-        self.work = Workspace(spark)
+        self.work = space(spark)
         ratings = tables.rating_rows(spark, sf, item)
         self.train = tables.train_rows(ratings)
         self.test = tables.test_rows(ratings)
-        self.history = self.work.table(profile.dedupe_ratings(self.train), "history")
+        self.history = self.work.table(
+            profile.dedupe_ratings(self.train, tables.line_order()), "history"
+        )
         self.mean = profile.global_mean(self.train).first()["global_mean"]
         self.bu, self.bi = biases.fit_biases(self.history, self.mean, work=self.work)
 
@@ -124,43 +128,66 @@ SELECT x.business_id AS item_a, y.business_id AS item_b, count(*) AS n,
   sum(x.stars * y.stars) AS products
 FROM train x JOIN train y USING (user_id) WHERE x.business_id < y.business_id GROUP BY 1, 2""")
 def item_pairs(spark, sf):
-    pairs = neighbours.item_pairs(_capped(tables.train_rows(tables.rating_rows(spark, sf))))
+    pairs = neighbours.item_pairs(tables.train_rows(tables.rating_rows(spark, sf)))
     return pairs.groupBy("item_a", "item_b").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("a") * F.col("b")).alias("products")
     )
 
 
-def _capped(train, preset=STABLE):
-    return neighbours.cap_user_items(train.drop("row_id"), preset.items_per_user, "stars")
-
-
 def _sims_sql(shrink: float) -> str:
     n = "CAST(count(*) AS DOUBLE)"
-    return f"""capped AS (
-  SELECT * FROM train
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY business_id, stars) <= 320),
-sims AS MATERIALIZED (
+    return f"""sims AS MATERIALIZED (
   SELECT x.business_id AS item_a, y.business_id AS item_b, count(*) AS n,
     ({n} * sum(x.stars * y.stars) - sum(x.stars) * sum(y.stars))
     / (sqrt({n} * sum(x.stars * x.stars) - pow(sum(x.stars), 2))
        * sqrt({n} * sum(y.stars * y.stars) - pow(sum(y.stars), 2)))
     * ({n} / ({n} + CAST({shrink} AS DOUBLE))) AS sim
-  FROM capped x JOIN capped y USING (user_id) WHERE x.business_id < y.business_id
+  FROM train x JOIN train y USING (user_id) WHERE x.business_id < y.business_id
   GROUP BY 1, 2
   HAVING count(*) >= 3 AND {n} * sum(x.stars * x.stars) > pow(sum(x.stars), 2)
      AND {n} * sum(y.stars * y.stars) > pow(sum(y.stars), 2))"""
 
 
-@query(f"{DENSE}, {_sims_sql(5)} SELECT item_a, item_b, n, {sql_r6('sim')} AS sim FROM sims")
+_SIM_ROWS = f"SELECT item_a, item_b, n, {sql_r6('sim')} AS sim FROM sims"
+
+
+def _similar(train, shrink, at_least=0.0, block=None):
+    return neighbours.item_similarities(train, shrink, at_least, neighbours.heavy_users(train, block))
+
+
+@query(f"{DENSE}, {_sims_sql(5)} {_SIM_ROWS}")
 def item_similarities(spark, sf):
-    capped = _capped(tables.train_rows(tables.rating_rows(spark, sf)))
-    return rounded(neighbours.item_similarities(capped, STABLE.shrink), "sim")
+    return rounded(_similar(tables.train_rows(tables.rating_rows(spark, sf)), STABLE.shrink), "sim")
+
+
+@query(f"{DENSE}, {_sims_sql(5)} {_SIM_ROWS}")
+def item_similarities_split_users(spark, sf):
+    """The same rows with nearly every user's ratings paired block by block."""
+    train = tables.train_rows(tables.rating_rows(spark, sf))
+    return rounded(_similar(train, STABLE.shrink, block=8), "sim")
 
 
-@query(f"{SPARSE}, {_sims_sql(20)} SELECT item_a, item_b, n, {sql_r6('sim')} AS sim FROM sims")
+@query(f"{SPARSE}, {_sims_sql(20)} {_SIM_ROWS}")
 def item_similarities_sparse(spark, sf):
-    capped = _capped(tables.train_rows(tables.rating_rows(spark, sf, "l_partkey")))
-    return rounded(neighbours.item_similarities(capped, AGGRESSIVE.shrink), "sim")
+    train = tables.train_rows(tables.rating_rows(spark, sf, "l_partkey"))
+    return rounded(_similar(train, AGGRESSIVE.shrink), "sim")
+
+
+@query(f"""{DENSE.replace("train AS (SELECT * FROM ratings", "train AS (SELECT * REPLACE "
+  "(CASE WHEN business_id % 7 = 0 THEN 3.1 ELSE round(1 + l_discount * 40, 1) END AS stars) FROM ratings")
+  .replace("l_linenumber\n", "l_linenumber, l_discount\n", 1)},
+sims AS (
+  SELECT x.business_id AS item_a, y.business_id AS item_b, count(*) AS n,
+    corr(x.stars, y.stars) * (count(*) / (count(*) + CAST(5 AS DOUBLE))) AS sim
+  FROM train x JOIN train y USING (user_id) WHERE x.business_id < y.business_id
+  GROUP BY 1, 2
+  HAVING count(*) >= 3 AND min(x.stars) < max(x.stars) AND min(y.stars) < max(y.stars))
+{_SIM_ROWS}""")
+def item_similarities_decimal_stars(spark, sf):
+    """Stars in steps of 0.4, and every seventh item rated 3.1 by everybody: it is similar to none."""
+    stars = F.when(F.col("l_suppkey") % 7 == 0, F.lit(3.1)).otherwise(F.round(1 + F.col("l_discount") * 40, 1))
+    train = tables.train_rows(tables.rating_rows(spark, sf, stars=stars))
+    return rounded(_similar(train, STABLE.shrink), "sim")
 
 
 @query(f"""{BIASED}
@@ -204,16 +231,26 @@ _CF_ROWS = f"""SELECT user_id, business_id, l_orderkey, l_linenumber, truth,
 
 
 def _cf_rows(fit, preset):
-    capped = _capped(fit.train, preset)
-    sims = fit.work.table(
-        neighbours.item_similarities(capped, preset.shrink, preset.threshold), "sims"
-    )
+    sims = fit.work.table(_similar(fit.train, preset.shrink, preset.threshold), "sims")
     return neighbours.cf_predict(
         fit.biased(), fit.history, sims, fit.bu, fit.bi, fit.mean, preset.threshold,
         preset.neighbours, preset.alpha, preset.resid_cap, preset.gate, fit.work,
     )
 
 
+@contextmanager
+def _lowered(**limits):
+    """Operator limits lowered for one plan, so that small tables take the paths of large ones."""
+    before = {(m, n): getattr(m, n) for n, (m, _) in limits.items()}
+    for name, (module, value) in limits.items():
+        setattr(module, name, value)
+    try:
+        yield
+    finally:
+        for (module, name), value in before.items():
+            setattr(module, name, value)
+
+
 def _cf_columns(scored):
     return rounded(
         scored.select("user_id", "business_id", "row_id.l_orderkey", "row_id.l_linenumber",
@@ -227,6 +264,13 @@ def cf_predict(spark, sf):
     return _cf_columns(_cf_rows(_Fitted(spark, sf), STABLE))
 
 
+@query(f"{BIASED}, {_sims_sql(5)}, {_cf_sql(STABLE)} {_CF_ROWS}")
+def cf_predict_hot_keys(spark, sf):
+    """The same rows with busy users, items and pairs taken apart and candidates split."""
+    with _lowered(HOT_ROWS=(skew, 200), ROWS_PER_SPLIT=(neighbours, 5_000)):
+        return _cf_columns(_cf_rows(_Fitted(spark, sf), STABLE))
+
+
 @query(f"{SPARSE_BIASED}, {_sims_sql(20)}, {_cf_sql(AGGRESSIVE)} {_CF_ROWS}")
 def cf_predict_sparse(spark, sf):
     return _cf_columns(_cf_rows(_Fitted(spark, sf, "l_partkey"), AGGRESSIVE))
@@ -269,7 +313,7 @@ SELECT user_id, {", ".join(f"{sql_r6(f'y{i}')} AS y{i}" for i in range(4))} FROM
 def implicit_user_vectors(spark, sf):
     train = tables.train_rows(tables.rating_rows(spark, sf))
     found = latent.implicit_user_vectors(
-        profile.dedupe_ratings(train), _item_factors(spark, sf), 4
+        profile.dedupe_ratings(train, tables.line_order()), _item_factors(spark, sf), 4
     )
     return found.select("user_id", *[r6(F.col("y")[i]).alias(f"y{i}") for i in range(4)])
 
@@ -462,10 +506,10 @@ def blend_default_aggressive(spark, sf):
 
 @query(f"""{DENSE}
 SELECT user_id, business_id, stars, l_orderkey, l_linenumber FROM ratings
-ORDER BY l_shipdate, l_orderkey, l_linenumber, stars LIMIT {STABLE.blend_rows}""")
+ORDER BY l_shipdate, l_orderkey, l_linenumber, stars LIMIT 30000""")
 def first_rows(spark, sf):
-    """The rows the blend is fitted on: the first of the file."""
-    found = blend.first_rows(tables.rating_rows(spark, sf), STABLE.blend_rows)
+    """The rows that the optional bound ``blend_rows`` of a preset keeps: the first of the file."""
+    found = blend.first_rows(tables.rating_rows(spark, sf), 30_000)
     return found.select("user_id", "business_id", "stars", "row_id.l_orderkey", "row_id.l_linenumber")
 
 
@@ -482,7 +526,7 @@ def _sides(spark, sf):
 def hybrid_model(spark, sf, preset="stable", **changes):
     """A fitted pipeline on the training rows, with few small trees and factors unless changed."""
     small = {"trees": 5, "depth": 4, "rank": 8, "latent_rounds": 3} | changes
-    ratings = tables.train_rows(tables.rating_rows(spark, sf))
+    ratings = tables.train_rows(tables.rating_rows(spark, sf)).withColumn("row_id", tables.line_order())
     return HybridRecommender(preset, **small).fit(ratings, _sides(spark, sf))
 
 

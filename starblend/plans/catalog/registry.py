@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starblend.workspace import Workspace
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,6 +28,11 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return register
 
 
+def space(spark: SparkSession) -> Workspace:
+    """Tables of a query whose result is read later; they go when the driver ends."""
+    return Workspace(spark).close_at_exit()
+
+
 def r6(c: str | Column) -> Column:
     """Rounded to six places, never minus zero."""
     c = F.col(c) if isinstance(c, str) else c

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from starblend.operators.blend import Weights
+from starblend.operators.features import CATEGORY_TERMS, CITY_TERMS, STATE_TERMS
 
 
 @dataclass(frozen=True)
@@ -31,16 +32,20 @@ class Preset:
     # blend
     inputs: tuple[str, ...]
     blend_lam: float
-    blend_rows: int
     bounds: Mapping[str, tuple[float, float]]
     default_weights: Weights
     # shared
     bias_lam: float = 9.0
     bias_rounds: int = 4
-    items_per_user: int = 320
     alpha: float = 1.1
     implicit_alpha: float = 0.6
+    category_terms: int = CATEGORY_TERMS
+    city_terms: int = CITY_TERMS
+    state_terms: int = STATE_TERMS
     seed: int = field(default=42)
+    # optional bounds; set, they drop data
+    items_per_user: int | None = None  # items of a user that similarities count
+    blend_rows: int | None = None  # labelled rows, from the first on, that the blend is fitted on
 
 
 # Fixed values.  ``latent_reg`` is the exception: the least-squares solver scales its penalty by the
@@ -63,7 +68,6 @@ STABLE = Preset(
     min_rows=1,
     inputs=("cf", "latent", "boosted"),
     blend_lam=0.01,
-    blend_rows=30_000,
     bounds={"cf": (-0.10, 0.40), "latent": (-0.10, 0.40), "boosted": (0.40, 1.20)},
     default_weights=Weights({"cf": 0.13, "latent": 0.05, "boosted": 0.87}, -0.25),
 )
@@ -85,7 +89,6 @@ AGGRESSIVE = Preset(
     min_rows=1,
     inputs=("bias", "cf", "latent", "boosted"),
     blend_lam=0.05,
-    blend_rows=35_000,
     bounds={
         "bias": (-0.10, 0.30),
         "cf": (-0.20, 0.40),

@@ -74,6 +74,7 @@ class HybridModel:
     trees: GBTRegressionModel
     by_user: DataFrame
     by_item: DataFrame
+    ratings: DataFrame  # the training lines, as stored
     weights: Weights | None = field(default=None)
 
     def score(self, pairs: DataFrame) -> DataFrame:
@@ -153,11 +154,12 @@ class HybridModel:
         )
 
     def fit_blend(self, scored: DataFrame) -> Weights:
-        """Weights from the first labelled rows; the preset's fixed ones if there are none."""
+        """Weights from all labelled rows, or the first ``blend_rows``; the preset's fixed ones if there are none."""
         preset = self.preset
         labelled = scored.where(F.col("truth").isNotNull())
-        first = blend.first_rows(labelled, preset.blend_rows)
-        moments = blend.blend_moments(first, preset.inputs).first()
+        if preset.blend_rows is not None:
+            labelled = blend.first_rows(labelled, preset.blend_rows)
+        moments = blend.blend_moments(labelled, preset.inputs).first()
         if moments["n"] == 0:
             return preset.default_weights
         return blend.fit_blend(moments, preset.inputs, preset.blend_lam, preset.bounds)
@@ -172,7 +174,8 @@ class HybridModel:
         """Reports on labelled rows.
 
         ``ablation`` scores every model and the blend.  The blend was fitted on rows it is scored on
-        there, so ``holdout`` fits it on one half of the pairs and scores it on the other.
+        there, so ``holdout`` fits it on one half of the pairs and scores it on the other.  ``weights`` are
+        those of the blend, and ``profile`` describes the training ratings and the pairs.
         """
         half = F.pmod(F.xxhash64("user_id", "business_id"), F.lit(2)) == 0
         weights = self.fit_blend(predicted.where(half))
@@ -181,8 +184,22 @@ class HybridModel:
             "ablation": evaluate.ablation(predicted, [*MODELS, "prediction"]),
             "holdout": evaluate.rmse(held, "prediction"),
             "errors": evaluate.error_histogram(predicted, "prediction"),
+            "weights": self.weight_rows(predicted.sparkSession),
+            "profile": self.profile(predicted),
         }
 
+    def weight_rows(self, spark: SparkSession) -> DataFrame:
+        """``name, weight`` of the blend in use, the constant last."""
+        weights = self.weights or self.preset.default_weights
+        rows = [*((m, float(w)) for m, w in weights.of.items()), ("constant", float(weights.constant))]
+        return spark.createDataFrame(rows, "name string, weight double")
+
+    def profile(self, pairs: DataFrame) -> DataFrame:
+        """The figures of the training ratings and of ``pairs`` as ``metric, value``."""
+        return profile.ratings_profile(
+            self.ratings, pairs, self.by_user.select("user_id", "n"), self.by_item.select("business_id", "n")
+        )
+
 
 class HybridRecommender:
     """``HybridRecommender("stable", trees=50).fit(ratings, sides).transform(pairs)``."""
@@ -230,8 +247,7 @@ class HybridRecommender:
             history = work.table(profile.dedupe_ratings(coded), "history", total)
             rows = history.count()
             user_bias, item_bias = biases.fit_biases(
-                history, mean, preset.bias_lam, preset.bias_rounds, work, hot_u, hot_i,
-                (by_user.count(), by_item.count(), rows),
+                history, mean, preset.bias_lam, preset.bias_rounds, work, hot_u, hot_i, rows
             )
             residuals = work.table(
                 neighbours.history_residuals(history, user_bias, item_bias, mean, hot_u, hot_i),
@@ -249,13 +265,13 @@ class HybridRecommender:
             return rows, residuals, user_bias, item_bias, user_factors, item_factors
 
         def similarities():
-            capped = neighbours.cap_user_items(
-                coded.select("user_id", "business_id", "stars", "item_rows"),
-                preset.items_per_user,
-                "stars",
-            ).where(F.col("item_rows") >= neighbours.MIN_SUPPORT)
+            rows = coded.select("user_id", "business_id", "stars", "item_rows")
+            if preset.items_per_user is not None:
+                rows = neighbours.cap_user_items(rows, preset.items_per_user, "stars")
+            rows = rows.where(F.col("item_rows") >= neighbours.MIN_SUPPORT)
+            heavy = neighbours.heavy_users(rows)
             return work.table(
-                neighbours.item_similarities(capped, preset.shrink, preset.threshold),
+                neighbours.item_similarities(rows, preset.shrink, preset.threshold, heavy),
                 "similarities",
             )
 
@@ -306,17 +322,20 @@ class HybridRecommender:
             trees=trees,
             by_user=by_user,
             by_item=by_item,
+            ratings=raw,
         )
 
-    @staticmethod
     def _side_tables(
-        sides: Sides, by_user: DataFrame, by_item: DataFrame, work: Workspace
+        self, sides: Sides, by_user: DataFrame, by_item: DataFrame, work: Workspace
     ) -> tuple[DataFrame, DataFrame]:
         """One row per known user and business: original id, int id where trained, features."""
+        preset = self.preset
         user_part = None if sides.users is None else features.user_features(sides.users, work)
         item_part = (
             None if sides.businesses is None
-            else features.business_features(sides.businesses, work)
+            else features.business_features(
+                sides.businesses, work, preset.category_terms, preset.city_terms, preset.state_terms
+            )
         )
         users = features.user_table(user_part, by_user)
         items = features.business_table(

@@ -12,11 +12,14 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def rating_rows(spark: SparkSession, folder: str, item: str = "l_suppkey") -> DataFrame:
+def rating_rows(
+    spark: SparkSession, folder: str, item: str = "l_suppkey", stars: Column | None = None
+) -> DataFrame:
     """Every line item as a rating of its supplier (or part) by the customer of its order."""
     lines = load(spark, folder, "lineitem")
     orders = load(spark, folder, "orders")
-    stars = (F.lit(1) + F.floor((F.col("l_quantity") - 1) / 10)).cast("double")
+    if stars is None:
+        stars = (F.lit(1) + F.floor((F.col("l_quantity") - 1) / 10)).cast("double")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("user_id"),
         F.col(item).alias("business_id"),
@@ -25,6 +28,14 @@ def rating_rows(spark: SparkSession, folder: str, item: str = "l_suppkey") -> Da
     )
 
 
+def line_order() -> Column:
+    """``row_id`` of ``rating_rows`` as one number of the same order, which aggregations can hash."""
+    return F.expr(
+        "CAST(unix_micros(CAST(row_id.l_shipdate AS TIMESTAMP)) AS DECIMAL(19, 0)) * CAST(1000000000000000 AS DECIMAL(16, 0))"
+        " + CAST(row_id.l_orderkey * 100 + row_id.l_linenumber * 10 + CAST(row_id.s AS INT) AS DECIMAL(19, 0))"
+    )
+
+
 def in_test() -> Column:
     return (F.col("user_id") * 31 + F.col("business_id") * 17) % 10 == 0
 
@@ -95,6 +106,4 @@ def side_tips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def side_photos(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "lineitem").where("l_returnflag = 'R'").selectExpr(
-        "l_suppkey AS business_id"
-    )
+    return load(spark, folder, "lineitem").selectExpr("l_partkey AS business_id")

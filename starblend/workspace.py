@@ -8,6 +8,7 @@ the table may be broadcast.
 
 from __future__ import annotations
 
+import atexit
 import itertools
 import tempfile
 import uuid
@@ -71,6 +72,15 @@ class Workspace:
     def __exit__(self, *_) -> None:
         self.close()
 
+    def close_at_exit(self) -> Workspace:
+        """For results that are read after the call that made them: the tables go when the driver ends."""
+        atexit.register(self._close_if_running)
+        return self
+
+    def _close_if_running(self) -> None:
+        if self.spark.sparkContext._jsc is not None:
+            self.close()
+
     def close(self) -> None:
         """Delete the job's tables; call it once nothing reads them any more."""
         jvm = self.spark.sparkContext._jvm

@@ -55,6 +55,69 @@ def test_too_few_raters_and_constant_items_are_absent(spark):
     assert found[0].sim == pytest.approx(-4 / 9)
 
 
+@pytest.mark.parametrize("constant", [3.1, 2.9, 1.1])
+def test_constant_decimal_items_have_no_similarity(spark, constant):
+    rng = np.random.default_rng(7)
+    rows = [(f"u{u}", "flat", constant) for u in range(25)]
+    rows += [(f"u{u}", f"b{b}", float(np.round(1 + 0.4 * rng.integers(0, 11), 1))) for u in range(25) for b in range(5)]
+    rows += [(f"u{u}", "twin", s) for u, b, s in ((int(u[1:]), b, s) for u, b, s in rows) if b == "b0"]
+    found = neighbours.item_similarities(spark.createDataFrame(rows, RATINGS), 0.0).collect()
+    assert not [r for r in found if "flat" in (r.item_a, r.item_b)]
+    assert len(found) == 15 and all(abs(r.sim) <= 1 for r in found)
+    assert next(r.sim for r in found if (r.item_a, r.item_b) == ("b0", "twin")) == pytest.approx(1)
+
+
+def test_a_user_with_a_thousand_items_loses_nothing(spark):
+    stars = {u: {f"i{i:04d}": float(1 + (i * (u + 3) + u * i * i) % 5) for i in range(1000)} for u in range(3)}
+    rows = [(f"u{u}", b, s) for u, rated in stars.items() for b, s in rated.items()]
+    ratings = spark.createDataFrame(rows, RATINGS)
+    heavy = neighbours.heavy_users(ratings, 130)
+    assert {r["user_id"]: r["blocks"] for r in heavy.collect()} == {f"u{u}": 8 for u in range(3)}
+    assert neighbours.item_pairs(ratings, heavy).count() == 3 * 1000 * 999 // 2
+    one = {(r.item_a, r.item_b): (r.n, round(r.sim, 9)) for r in neighbours.item_similarities(ratings, 5.0, 0.2, heavy).collect()}
+    two = {(r.item_a, r.item_b): (r.n, round(r.sim, 9)) for r in neighbours.item_similarities(ratings, 5.0, 0.2).collect()}
+    assert one == two and len(one) > 1000
+
+
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_pairs_of_heavy_users_are_the_same_pairs(spark, block):
+    ratings, _ = sample(spark, 3, 8, 9, 0.6)
+    ratings = ratings.unionByName(ratings.limit(5))  # rated twice
+    plain = neighbours.item_pairs(ratings)
+    split = neighbours.item_pairs(ratings, neighbours.heavy_users(ratings, block))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
+def test_only_routed_targets_make_copies(spark, work, monkeypatch):
+    """A list of 20 is needed once, by the one target that takes it, although 40 targets ask for its item."""
+    monkeypatch.setattr(neighbours, "ROWS_PER_SPLIT", 20)
+    history = [("long", f"n{i:02d}", 0.1) for i in range(60)] + [(f"u{i}", "n00", 0.2) for i in range(40)]
+    history = spark.createDataFrame(history, "user_id string, neighbour string, resid double")
+    weights = spark.createDataFrame([("a", f"n{i:02d}", 0.5) for i in range(20)], "item_a string, item_b string, w double")
+    targets = spark.createDataFrame([("long", "a")] + [(f"u{i}", "a") for i in range(40)], "user_id string, business_id string")
+    made = []
+
+    def counted(splits):
+        made.append(splits)
+        return F.explode(F.sequence(F.lit(0), F.col(splits) - 1)).alias("split")
+
+    monkeypatch.setattr(neighbours, "_every_split", counted)
+    seen = []
+    attach = neighbours.attach
+
+    def watched(*args):
+        out = attach(*args)
+        if "splits" in out.columns and "split" not in out.columns and "by_history" not in out.columns:
+            seen.append(out)
+        return out
+
+    monkeypatch.setattr(neighbours, "attach", watched)
+    found = neighbours.neighbour_candidates(targets, history, weights, work)
+    assert found.count() == 20 + 40
+    copies = sorted(f.agg(F.sum("splits")).first()[0] for f in seen)
+    assert copies == [20, 40] and len(made) == 2  # the list's 20 rows and the short histories, once each
+
+
 def test_cap_takes_the_first_items_by_id(spark):
     ratings, table = sample(spark, 2, 6, 30, 0.9)
     kept = neighbours.cap_user_items(ratings, 5, "stars")

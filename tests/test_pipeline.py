@@ -62,6 +62,10 @@ def test_job_from_files_to_file(spark, folder, tmp_path):
         assert found["prediction"] == pytest.approx((sum(squares) / len(squares)) ** 0.5)
         assert reports["errors"].agg(F.sum("n")).first()[0] == len(pairs)
         assert reports["holdout"].first()["rmse"] is not None
+        weights = {r["name"]: r["weight"] for r in reports["weights"].collect()}
+        assert weights == {**model.weights.of, "constant": model.weights.constant}
+        figures = {r["metric"]: r["value"] for r in reports["profile"].collect()}
+        assert figures["global_mean"] == pytest.approx(model.mean) and figures["users"] > 0
 
 
 def test_pairs_without_truth_use_the_fixed_weights(spark, folder, tmp_path):
@@ -96,7 +100,7 @@ def test_hot_keys_do_not_change_the_scores(spark, planted, monkeypatch):
 
     plain = scores()
     monkeypatch.setattr(skew, "HOT_ROWS", 20)
-    monkeypatch.setattr(skew, "BROADCAST_KEYS", 50)
+    monkeypatch.setattr(skew, "too_large_to_broadcast", lambda dim: True)
     monkeypatch.setattr(neighbours, "ROWS_PER_SPLIT", 100)
     split = scores()
     assert len(plain) == len(split) == len(collected)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starblend.operators import features, neighbours, profile
+from starblend.operators import features, latent, neighbours, profile
 from starblend.plans import tables
+from starblend.plans.catalog import QUERIES
+from starblend.plans.presets import AGGRESSIVE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -56,6 +58,34 @@ def test_dedupe_by_line_number_hashes_and_does_not_sort(stored, no_broadcast):
     assert count(text, "Exchange") == 1
 
 
+def test_registered_dedupe_hashes_and_does_not_sort(spark, no_broadcast):
+    text = plan(QUERIES["dedupe_ratings"](spark, FOLDER))
+    final = text[: text.index("SortMergeJoin")]
+    assert count(final, "HashAggregate") == 2 and "SortAggregate" not in text and "ObjectHash" not in text
+
+
+def test_registered_profile_reads_the_ratings_twice(spark):
+    """Once for the mean and the histogram, once for the pairs to score; the rest are the stored counts."""
+    text = plan(QUERIES["ratings_profile"](spark, FOLDER))
+    assert sum("lineitem.parquet" in line for line in text.splitlines() if "FileScan" in line) <= 3
+
+
+def test_implicit_vectors_are_compiled_at_the_preset_rank(spark, work):
+    rank = AGGRESSIVE.rank
+    history = spark.range(500).selectExpr("id % 20 AS user_id", "id % 31 AS business_id")
+    factors = spark.range(31).select(F.col("id").alias("business_id"), F.array(*[F.rand(d) for d in range(rank)]).alias("q"))
+    factors = work.table(factors, "factors")
+    found = latent.implicit_user_vectors(history, factors, rank)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(latent.implicit_user_vectors(history, factors, rank))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    aggregates = [line for line in text.splitlines() if "HashAggregate" in line]
+    assert aggregates and all("*(" in line for line in aggregates)  # a star marks compiled stages
+    assert len(found.first()["y"]) == rank
+
+
 def test_pair_join_shuffles_the_ratings_once(stored, no_broadcast):
     capped = neighbours.cap_user_items(stored.drop("row_id"), 10, "stars")
     text = plan(neighbours.item_similarities(capped))

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from starblend import sources
+from starblend.operators import profile
 
 
 @pytest.fixture
@@ -65,6 +66,22 @@ def test_line_numbers_follow_many_splits(spark, lines, work):
     assert numbered.agg(F.min("row_id"), F.max("row_id")).first()[:] == (0, 19_999)
 
 
+def test_line_numbers_with_copies_of_the_header(spark, lines, tmp_path, work):
+    lines("d/a.csv", ["h,i,j", "u1,b1,1", "h,i,j", "u2,b1,2"])
+    lines("d/b.csv", ["u3,b1,3", "h,i,j", "u1,b1,4", "h,i,j"])
+    stored = work.table(sources.read_ratings(spark, str(tmp_path / "d")), "lines")
+    rows = sources.line_numbers(stored).orderBy("row_id").collect()
+    assert [(r.user_id, r.row_id) for r in rows] == [("u1", 0), ("u2", 1), ("u3", 2), ("u1", 3)]
+    last = profile.dedupe_ratings(sources.line_numbers(stored)).collect()
+    assert {r.user_id: r.stars for r in last} == {"u1": 4.0, "u2": 2.0, "u3": 3.0}
+
+
+def test_line_number_offsets_carry_no_paths_and_no_hint(spark, lines, work):
+    stored = work.table(sources.read_ratings(spark, lines("p.csv", ["h,i,j", "u1,b1,1"])), "lines")
+    plan = sources.line_numbers(stored)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
+
+
 def test_line_numbers_leave_other_orders_alone(spark):
     rows = spark.range(3).withColumnRenamed("id", "row_id")
     assert sources.line_numbers(rows) is rows
