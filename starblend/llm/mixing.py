@@ -8,7 +8,7 @@ are the nonnegative numbers, one for each document, that solve
 
 with tokens t_d (words), posteriors p_dk and targets T_k as shares of all tokens, and g_k the share that domain k has
 now.  Projected gradient steps are one aggregation each: only the K totals reach the driver, and a document's rate
-is an expression over its posteriors.  The ridge keeps rates near 1 and makes the answer unique.
+follows from its posterior by taking the same steps.  The ridge keeps rates near 1 and makes the answer unique.
 
 Defined cases: a null or empty text has no tokens and a rate of 1; it weighs nothing.  A domain no labelled document
 has gets posterior 0; its target is out of reach and left unmet.  Without labelled rows all posteriors are equal.
@@ -17,11 +17,9 @@ Null ids are mixed like others.  Repeated rows get equal rates.  An empty table
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starblend.llm.common import _mix, steps, strings, word_hashes, word_spans
@@ -32,7 +30,7 @@ BITS = 17
 STRETCH = 16
 #: Labelled rows learned from, for each domain.
 SAMPLE = 1000
-ROUNDS = 60
+ROUNDS = 200
 
 
 def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +113,35 @@ def with_posteriors(docs: DataFrame, model: Domains) -> DataFrame:
     return docs.mapInArrow(run, f"{schema}, n_tokens long, posterior array<double>")
 
 
-def fit_rates(rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolerance: float = 1e-7) -> Column:
-    """The rate of a row of ``rows`` (``n_tokens, posterior``) as an expression."""
+class Rates:
+    """The gradient steps taken so far; a row's rate follows from its posterior by taking them again."""
+
+    def __init__(self, step: float, ridge: float):
+        self.step, self.ridge = step, ridge
+        self.taken: list[tuple[np.ndarray, float]] = []
+
+    def replay(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rates before the last step and after it, and the points where the last and the next gradient is taken."""
+        before = x = at = ahead = np.ones(len(p))
+        keep = self.step * self.ridge
+        for pull, momentum in self.taken:
+            before, at = x, ahead
+            x = np.maximum(0.0, (1 - keep) * at - p @ pull + keep)
+            ahead = x + momentum * (x - before)
+        return before, x, at, ahead
+
+
+def _posteriors(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column("posterior")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.empty((0, 1))
+
+
+def fit_rates(rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolerance: float = 1e-5) -> Rates | None:
+    """Rates for ``rows`` (``n_tokens, posterior``) by projected gradient steps with momentum; None without tokens.
+
+    A round is one pass that sums a few numbers.  It ends when the rates move by less than ``tolerance`` (root mean
+    square over tokens), after ``ROUNDS`` rounds at the latest.
+    """
     k = len(targets)
     weight = np.array(targets, float) / sum(targets)
     p = [F.get("posterior", F.lit(j)) for j in range(k)]
@@ -124,25 +149,56 @@ def fit_rates(rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolera
     pairs = [F.sum(t * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
     first = rows.agg(F.sum(t).alias("all"), *(F.sum(t * p[j]).alias(f"s{j}") for j in range(k)), *pairs).first()
     tokens = first["all"] or 0.0
-    rate = F.lit(1.0)
     if not tokens:
-        return rate
+        return None
     now = np.array([first[f"s{j}"] for j in range(k)]) / tokens
     gram = np.array([[first[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / tokens
     scale = np.where(now > 1e-12, 1 / np.maximum(now, 1e-12), 0.0)
     root = np.sqrt(scale)
     step = 1 / (float(np.linalg.eigvalsh(root[:, None] * gram * root[None, :])[-1]) + ridge)
-    totals, before = now, None
+    rates = Rates(step, ridge)
+
+    def sums(batches):
+        total = np.zeros(k + 2)
+        for batch in batches:
+            share, n = _posteriors(batch), batch.column("n_tokens").to_numpy().astype(float)
+            if len(n):
+                before, x, at, ahead = rates.replay(share)
+                total += np.r_[(n * ahead) @ share, n @ ((at - x) * (x - before)), n @ (x - before) ** 2]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names=[f"v{j}" for j in range(k + 2)])
+
+    shape = ", ".join(f"v{j} double" for j in range(k + 2))
+    totals, age = now, 1.0
     for _ in range(ROUNDS):
-        pull = step * scale * (totals - weight)
-        move = reduce(lambda a, b: a + b, (F.lit(float(c)) * q for c, q in zip(pull, p, strict=True)))
-        rate = F.greatest(F.lit(0.0), F.lit(1 - step * ridge) * rate - move + F.lit(step * ridge))
-        if before is not None and np.abs(pull - before).max() < tolerance * step:
+        following = (1 + np.sqrt(1 + 4 * age * age)) / 2
+        rates.taken.append((step * scale * (totals - weight), (age - 1) / following))
+        age = following
+        found = rows.select("n_tokens", "posterior").mapInArrow(sums, shape).agg(*(F.sum(f"v{j}") for j in range(k + 2))).first()
+        totals, turned, moved = np.array(found[:k]) / tokens, found[k], found[k + 1]
+        if moved / tokens < tolerance**2:
             break
-        before = pull
-        found = rows.agg(*(F.sum(rate * t * q).alias(f"s{j}") for j, q in enumerate(p))).first()
-        totals = np.array([found[f"s{j}"] for j in range(k)]) / tokens
-    return F.when(F.col("n_tokens") > 0, rate).otherwise(F.lit(1.0))
+        if turned > 0:  # the momentum points uphill: let it go, and take the next gradient at the rates themselves
+            rates.taken[-1] = (rates.taken[-1][0], 0.0)
+            age = 1.0
+            found = rows.select("n_tokens", "posterior").mapInArrow(sums, shape).agg(*(F.sum(f"v{j}") for j in range(k))).first()
+            totals = np.array(found[:k]) / tokens
+    return rates
+
+
+def with_rates(rows: DataFrame, fitted: Rates | None) -> DataFrame:
+    """``rows`` with a column ``rate``; 1 for a row without tokens."""
+    if fitted is None:
+        return rows.withColumn("rate", F.lit(1.0))
+    columns = rows.columns
+
+    def apply(batches):
+        for batch in batches:
+            x = fitted.replay(_posteriors(batch))[1]
+            n = batch.column("n_tokens").to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.where(n > 0, x, 1.0))], names=[*columns, "rate"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(apply, f"{schema}, rate double")
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace) -> DataFrame:
@@ -152,9 +208,9 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work:
     """
     model = learn_domains(docs, labelled, list(targets))
     rows = work.table(with_posteriors(docs, model), "posteriors")
-    rate = fit_rates(rows, list(targets.values()))
+    rated = with_rates(rows, fit_rates(rows, list(targets.values())))
     chance = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    return rows.withColumn("rate", rate).withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
 
 def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
