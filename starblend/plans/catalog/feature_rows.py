@@ -53,14 +53,74 @@ def business_columns(spark, sf):
     return rounded(found, "b_log_review_count")
 
 
-@query()
+def _score_gaps(rows, work, vector, scores):
+    """``rows`` with a column for each of ``scores``: how far it is from being an eigenvector's score, to 4 places.
+
+    For an eigenvector v of the covariance of x, its score s = x.v (centred) has cov(x, s) = var(s) v.  So
+    ``s - (x - mean) . cov(x, s) / var(s)`` is 0, also where s itself is 0.
+    """
+    staged = work.table(rows.withColumn("_x", vector_to_array(vector)).drop(vector), "scores")
+    k = len(scores)
+    sums = (
+        staged.select(F.posexplode("_x").alias("d", "x"), *scores).groupBy("d")
+        .agg(F.avg("x").alias("m"), *[F.covar_samp("x", s).alias(f"c{j}") for j, s in enumerate(scores)])
+        .orderBy("d").collect()
+    )  # one row for each dimension, at most the size of a vocabulary
+    moments = staged.agg(*[F.var_samp(s).alias(f"v{j}") for j, s in enumerate(scores)], *[F.avg(s).alias(f"a{j}") for j, s in enumerate(scores)]).first()
+    variances = [moments[f"v{j}"] or 0.0 for j in range(k)]
+    out = staged
+    for j, s in enumerate(scores):
+        if variances[j] < 1e-9:
+            gap = F.col(s) - F.lit(moments[f"a{j}"] or 0.0)
+        else:
+            centred = F.zip_with("_x", F.array(*[F.lit(r["m"]) for r in sums]), lambda x, m: x - m)
+            along = F.zip_with(centred, F.array(*[F.lit(r[f"c{j}"] / variances[j]) for r in sums]), lambda x, v: x * v)
+            total = F.aggregate(along, F.lit(0.0), lambda acc, x: acc + x)
+            gap = F.col(s) - F.lit(moments[f"a{j}"]) - total
+        out = out.withColumn(s, F.round(gap, 4) + F.lit(0.0))
+    falling = all(a >= b - 1e-9 for a, b in zip(variances, variances[1:]))
+    return out.drop("_x").withColumn("falling", F.lit(falling))
+
+
+def _zeros(names) -> str:
+    return ", ".join(f"CAST(0 AS DOUBLE) AS {n}" for n in names)
+
+
+_USER_SCORES = [f for f in features.FEATURES if f.startswith("u_comp_pca")]
+
+
+@query(f"WITH {USERS_SQL} SELECT *, {_zeros(_USER_SCORES)}, TRUE AS falling FROM users")
 def user_features(spark, sf):
-    return features.user_features(tables.side_users(spark, sf), space(spark))
+    """The plain features, and for each component score how far it is from solving the eigen equation."""
+    work = space(spark)
+    users = tables.side_users(spark, sf)
+    found = features.user_features(users, work)
+    vector = array_to_vector(F.col("compliments").cast("array<double>")).alias("x")
+    rows = found.join(features.user_columns(users).select("user_id", vector), "user_id")
+    return rounded(_score_gaps(rows, work, "x", _USER_SCORES), "u_log_review_count")
+
+
+_BUSINESS_SCORES = {
+    "category_terms": [f"b_cat_pca{i}" for i in range(features.CATEGORY_PCS)],
+    "city_terms": [f"b_city_pca{i}" for i in range(features.CITY_PCS)],
+    "state_terms": [f"b_state_pca{i}" for i in range(features.STATE_PCS)],
+}
+_SIZES = {"category_terms": features.CATEGORY_TERMS, "city_terms": features.CITY_TERMS, "state_terms": features.STATE_TERMS}
 
 
-@query()
+@query(f"""WITH {BUSINESSES_SQL}
+SELECT *, {", ".join(_zeros(names) for names in _BUSINESS_SCORES.values())}, TRUE AS falling FROM businesses""")
 def business_features(spark, sf):
-    return features.business_features(tables.side_businesses(spark, sf), space(spark))
+    """The plain features, and for each component score how far it is from solving the eigen equation."""
+    work = space(spark)
+    businesses = tables.side_businesses(spark, sf)
+    out = work.table(features.business_features(businesses, work).withColumn("falling", F.lit(True)), "features")
+    columns = work.table(features.business_columns(businesses), "columns")
+    for terms, names in _BUSINESS_SCORES.items():
+        bags = features.bag_of_terms(columns, terms, _SIZES[terms], "x").select("business_id", "x")
+        rows = out.withColumnRenamed("falling", "before").join(bags, "business_id")
+        out = _score_gaps(rows, work, "x", names).withColumn("falling", F.col("falling") & F.col("before")).drop("before")
+    return rounded(out, "b_log_review_count")
 
 
 @query("""

@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from starblend.operators import neighbours, skew
+from starblend.operators import blend, evaluate, neighbours, skew
+from starblend.plans.presets import PRESETS
 from starblend.plans.recommender import MODELS, HybridRecommender, Sides, run_job
 from starblend.workspace import Workspace
 
@@ -109,6 +110,21 @@ def test_hot_keys_do_not_change_the_scores(spark, planted, monkeypatch):
         assert a[2] == pytest.approx(b[2], abs=0.05)
 
 
+def test_blend_is_as_good_as_its_best_input(spark, planted):
+    """Fitted on one half of the labelled pairs and judged on the other, with bounds that cut nothing."""
+    train, test, _ = planted
+    preset = PRESETS["aggressive"]
+    wide = dict.fromkeys(preset.inputs, (-5.0, 5.0))
+    model = HybridRecommender("aggressive", bounds=wide, trees=20, depth=3, rank=6, latent_rounds=8).fit(train)
+    with model.work:
+        scored = model.score(test)
+        half = F.pmod(F.xxhash64("user_id", "business_id"), F.lit(2)) == 0
+        weights = model.fit_blend(scored.where(half))
+        held = blend.blend_predict(scored.where(~half), weights)
+        errors = {r["model"]: r["rmse"] for r in evaluate.ablation(held, [*MODELS, "prediction"]).collect()}
+    assert errors["prediction"] <= 1.005 * min(errors[m] for m in preset.inputs)
+
+
 def test_absent_sides(spark, tmp_path):
     sides = Sides.read(spark, str(tmp_path))
     assert sides == Sides()
