@@ -72,7 +72,7 @@ def _stems(texts: list[bytes], longest: int = 14) -> Counter:
 def own_segments(toxic: list[bytes], ordinary: list[bytes], times: float = 40.0) -> list[bytes]:
     """Word starts that toxic texts share and ordinary texts hardly have, each as long as most of its texts agree."""
     here, there = _stems(toxic), _stems(ordinary)
-    least = max(3, len(toxic) / 50)
+    least = max(5, len(toxic) / 50)
     share = len(toxic) / max(1, len(ordinary))
     kept = {s for s, n in here.items() if n >= least and times * share * there[s] <= n}
     longer = defaultdict(list)
