@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 
 from starblend.llm.common import steps
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 END = b" "  # not a word, so free to stand for the end of a text
 
 
+#: A lower-case Latin word and the ASCII punctuation behind it: two parts that the tokenizer splits at and leaves as
+#: they are, so that its normalizer and its splitting need not see them.
+_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]*)([!-/:-@\\[-`{-~]*)")
+_PROBES = ["the", "Word.", "\u00c9t\u00e9", "stra\u00dfe!!", "%%%", "x'y", "don't", "a-b", "'s", "no?!", "\u00f1and\u00fa,"]
+
+
 class _Words(dict):
     """Numbers words in the order they come up and remembers the new ones."""
 
@@ -28,14 +35,21 @@ class _Words(dict):
 class Encoder:
     """Ids of texts for a tokenizer whose words never reach across ASCII white space.
 
-    Words between white space are encoded once and kept, at most ``CACHE_WORDS`` and those of one step.
+    Words between white space are encoded once and kept, at most ``CACHE_WORDS`` and those of one step.  When there
+    are more, those that came up once since the last time are forgotten.
     """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.end_id = end_id
+        self.plain = True
+        self.plain = self._encode(_PROBES)[0].tolist() == self._whole(_PROBES)[0].tolist()
         self._reset()
 
     def _reset(self) -> None:
@@ -43,22 +57,61 @@ class Encoder:
         self.words[END] = 0
         self.start, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.flat = np.array([self.end_id], np.uint32)
+        self.seen = np.zeros(1, np.int64)
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(np.r_[True, self.seen[1:] > 1])
+        if len(kept) > 0.7 * CACHE_WORDS:
+            self._reset()
+            return
+        words, start, size, flat = list(self.words), self.start[kept], self.size[kept], self.flat
+        self.words = _Words()
+        self.words.update({words[k]: i for i, k in enumerate(kept.tolist())})
+        self.size, self.start = size, np.cumsum(size) - size
+        self.flat = flat[np.repeat(start - self.start, size) + np.arange(int(size.sum()))]
+        self.seen = np.zeros(len(kept), np.int64)
+
+    def _whole(self, words: list[str], bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each has."""
+        out = (self.bare if bare else self.tokenizer).encode(words, is_pretokenized=True, add_special_tokens=False)
+        size = np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(words))
+        return np.array(out.ids, dtype=np.uint32), size
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_whole``, with the parts of plain words taken past the normalizer."""
+        if not self.plain:
+            return self._whole(words)
+        matches = [_PLAIN.fullmatch(w.lower()) for w in words]
+        parts, other = [], []
+        for word, match in zip(words, matches, strict=True):
+            if match is None:
+                other.append(word)
+            else:
+                parts += match.groups()
+        ids, sizes = self._whole(parts, bare=True) if parts else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        ids2, sizes2 = self._whole(other) if other else (np.empty(0, np.uint32), np.empty(0, np.int64))
+        known = np.array([m is not None for m in matches])
+        size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        size[known], size[~known] = sizes.reshape(-1, 2).sum(1), sizes2
+        start[known] = np.cumsum(size[known]) - size[known]
+        start[~known] = len(ids) + np.cumsum(sizes2) - sizes2
+        out = np.cumsum(size) - size
+        return np.r_[ids, ids2][np.repeat(start - out, size) + np.arange(int(size.sum()))], size
 
     def _learn(self) -> None:
         new, self.words.new = self.words.new, []
         if not new:
             return
-        out = self.tokenizer.encode([w.decode("utf-8") for w in new], is_pretokenized=True, add_special_tokens=False)
-        size = np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(new))
+        ids, size = self._encode([w.decode("utf-8") for w in new])
         self.start = np.r_[self.start, len(self.flat) + np.cumsum(size) - size]
         self.size = np.r_[self.size, size]
-        self.flat = np.r_[self.flat, np.array(out.ids, dtype=np.uint32)]
+        self.flat = np.r_[self.flat, ids]
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """For each text its ids and the end id, as uint32."""
         for lo, hi in steps(texts):
             if len(self.words) > CACHE_WORDS:
-                self._reset()
+                self._forget()
             words, counts = [], []
             for text in texts[lo:hi]:
                 before = len(words)
@@ -67,6 +120,9 @@ class Encoder:
                 counts.append(len(words) - before)
             number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
             self._learn()
+            seen = np.bincount(number, minlength=len(self.size))
+            seen[: len(self.seen)] += self.seen
+            self.seen = seen
             size = self.size[number]
             ends = np.cumsum(size)
             ids = self.flat[np.repeat(self.start[number] - ends + size, size) + np.arange(ends[-1])]
