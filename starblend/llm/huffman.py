@@ -21,13 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starblend.llm.common import strings
+from starblend.llm.common import steps, strings
 from starblend.llm.token_ids import encoder
 from starblend.workspace import Workspace
 
 LIMIT = 20
 STRIDE = 256
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
 BLOCKS = """first long, n_ids long, checkpoints binary, bits binary,
 docs array<struct<doc_id: long, start: long, n_tokens: long>>"""
 
@@ -76,13 +76,26 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 
 def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The bits of ``ids`` and the bit offset of every ``STRIDE``-th."""
+    """The bits of ``ids`` and the bit offset of every ``STRIDE``-th.
+
+    Codes are put into words of 64 bits; of those that begin in a word at most the last reaches into the next.
+    """
     size = lengths[ids]
     ends = np.cumsum(size)
     starts = ends - size
-    rest = np.repeat(ends, size) - np.arange(int(ends[-1]) if len(ends) else 0) - 1
-    bits = (np.repeat(codes[ids], size) >> rest.astype(np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8)).tobytes(), starts[::STRIDE]
+    if not len(ids):
+        return b"", starts
+    word = starts >> 6
+    room = 64 - (starts & 63) - size
+    code = codes[ids]
+    over = np.flatnonzero(room < 0)
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    placed = code << np.maximum(room, 0).astype(np.uint64)
+    placed[over] = code[over] >> (-room[over]).astype(np.uint64)
+    out = np.zeros(int(ends[-1] + 63 >> 6), dtype=np.uint64)
+    out[word[first]] = np.bitwise_or.reduceat(placed, first)
+    out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+    return out.astype(">u8").tobytes()[: int(ends[-1] + 7 >> 3)], starts[::STRIDE]
 
 
 class Decoder:
@@ -121,15 +134,17 @@ def write(docs: DataFrame, folder: str, work: Workspace, tokenizer: str, end_id:
         ids_of, at = encoder(tokenizer, end_id), 0
         part = TaskContext.get().partitionId()
         for batch in batches:
-            ids = list(ids_of.encode(strings(batch.column("text"))))
-            sizes = np.array([len(x) for x in ids], dtype=np.int64)
-            ends = at + np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), part, np.int32)), batch.column("doc_id"), pa.array(ends - sizes), pa.array(sizes),
-                 pa.array([x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary())],
-                names=["part", "doc_id", "start", "n_tokens", "ids"],
-            )
-            at = int(ends[-1]) if len(ends) else at
+            texts = strings(batch.column("text"))
+            for lo, hi in steps(texts):
+                ids = list(ids_of.encode(texts[lo:hi]))
+                sizes = np.array([len(x) for x in ids], dtype=np.int64)
+                ends = at + np.cumsum(sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), part, np.int32)), batch.column("doc_id").slice(lo, hi - lo), pa.array(ends - sizes),
+                     pa.array(sizes), pa.array([x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary())],
+                    names=["part", "doc_id", "start", "n_tokens", "ids"],
+                )
+                at = int(ends[-1])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = texts.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
@@ -140,8 +155,8 @@ def write(docs: DataFrame, folder: str, work: Workspace, tokenizer: str, end_id:
     def histogram(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in _ids(batch):
-                seen = np.bincount(ids, minlength=len(total))
+            if batch.num_rows:
+                seen = np.bincount(np.concatenate(list(_ids(batch))), minlength=len(total))
                 seen[: len(total)] += total
                 total = seen
         used = np.flatnonzero(total)
