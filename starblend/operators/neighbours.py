@@ -166,11 +166,15 @@ def neighbour_candidates(
         return work.table(key_counts(rows, key).withColumnRenamed("n", name).join(asked, key), name)
 
     users, items = load(history, "user_id", "history_rows"), load(lists, "business_id", "list_rows")
-    planned = attach(targets, users.drop("asked"), "user_id", hot_by(users, "user_id", "asked"), "inner")
-    planned = attach(planned, items.drop("asked"), "business_id", hot_by(items, "business_id", "asked"), "inner")
+    asked_rows = targets.count()
+    hot_users = hot_by(users, "user_id", "asked", asked_rows)
+    hot_items = hot_by(items, "business_id", "asked", asked_rows)
+    planned = attach(targets, users.drop("asked"), "user_id", hot_users, "inner")
+    planned = attach(planned, items.drop("asked"), "business_id", hot_items, "inner")
     planned = work.table(
         planned.withColumn("by_history", F.col("history_rows") <= F.col("list_rows")), "targets"
     )
+    made = planned.agg(F.coalesce(F.sum(F.least("history_rows", "list_rows")), F.lit(0))).first()[0]
 
     def spread(rows: DataFrame, routed: DataFrame, key: str, size: str, hot: DataFrame | None) -> DataFrame:
         """``rows`` of the keys that ``routed`` targets take, once for each split of their key."""
@@ -186,30 +190,35 @@ def neighbour_candidates(
         return attach(routed, splits, key, hot, "inner").select("user_id", "business_id", part)
 
     by_history, by_list = planned.where("by_history"), planned.where("NOT by_history")
-    from_history = (
-        parted(by_history, "user_id", "history_rows", "business_id", hot_by(users, "user_id", "asked"))
-        .join(spread(history, by_history, "user_id", "history_rows", hot_by(users, "user_id", "history_rows")), ["user_id", "split"])
-        .where(F.col("neighbour") != F.col("business_id"))
-        .select("user_id", "business_id", "neighbour", "resid")
+    if made <= ROWS_PER_SPLIT:  # no key can yield more than one split
+        by_user = by_history.select("user_id", "business_id").join(history, "user_id")
+        by_item = by_list.select("user_id", "business_id").join(lists, "business_id")
+    else:
+        long_users = hot_by(users, "user_id", "history_rows")
+        long_items = hot_by(items, "business_id", "list_rows")
+        by_user = parted(by_history, "user_id", "history_rows", "business_id", hot_users).join(
+            spread(history, by_history, "user_id", "history_rows", long_users), ["user_id", "split"]
+        )
+        by_item = parted(by_list, "business_id", "list_rows", "user_id", hot_items).join(
+            spread(lists, by_list, "business_id", "list_rows", long_items), ["business_id", "split"]
+        )
+    from_history = by_user.where(F.col("neighbour") != F.col("business_id")).select(
+        "user_id", "business_id", "neighbour", "resid"
     )
     from_history = attach(
-        from_history, lists, ["business_id", "neighbour"], _hot_pairs(from_history, items), "inner"
+        from_history, lists, ["business_id", "neighbour"], _hot_pairs(from_history, hot_items), "inner"
     ).select("user_id", "business_id", "neighbour", "w", "resid")
-    from_list = (
-        parted(by_list, "business_id", "list_rows", "user_id", hot_by(items, "business_id", "asked"))
-        .join(spread(lists, by_list, "business_id", "list_rows", hot_by(items, "business_id", "list_rows")), ["business_id", "split"])
-        .join(history, ["user_id", "neighbour"])
-        .select("user_id", "business_id", "neighbour", "w", "resid")
+    from_list = by_item.join(history, ["user_id", "neighbour"]).select(
+        "user_id", "business_id", "neighbour", "w", "resid"
     )
     return from_history.unionByName(from_list)
 
 
-def _hot_pairs(candidates: DataFrame, items: DataFrame) -> DataFrame | None:
+def _hot_pairs(candidates: DataFrame, hot_items: DataFrame | None) -> DataFrame | None:
     """Pairs of a target item and a neighbour with too many candidates for one task.
 
     Only an item that is asked that often can be in one, so without such an item nothing is counted.
     """
-    hot_items = hot_by(items, "business_id", "asked")
     if hot_items is None:
         return None
     pair = ["business_id", "neighbour"]
@@ -282,18 +291,23 @@ def cf_predict(
         pairs.select("user_id", "business_id").dropna().distinct(), "distinct-pairs"
     )
     rated = history.join(targets.select("user_id").distinct(), "user_id", "left_semi")
+    rows, asked = history.count(), pairs.count()
+
+    def hot(frame: DataFrame, key: str, size: int) -> DataFrame | None:
+        return hot_by(key_counts(frame, key), key, rows=size)
+
     residuals = work.table(
         history_residuals(
-            rated, user_bias, item_bias, mean,
-            hot_by(key_counts(history, "user_id"), "user_id"), hot_by(key_counts(history, "business_id"), "business_id"),
+            rated, user_bias, item_bias, mean, hot(history, "user_id", rows), hot(history, "business_id", rows)
         ),
         "residuals",
     )
     moves = cf_adjustments(targets, residuals, sims, work, threshold, k, alpha, resid_cap)
-    repeated = pairs.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = attach(pairs, moves, ["user_id", "business_id"], hot_by(repeated, ["user_id", "business_id"]))
-    joined = attach(joined, user_bias, "user_id", hot_by(key_counts(pairs, "user_id"), "user_id"))
-    joined = attach(joined, item_bias, "business_id", hot_by(key_counts(pairs, "business_id"), "business_id"))
+    both = ["user_id", "business_id"]
+    repeated = hot_by(pairs.groupBy(*both).agg(F.count(F.lit(1)).alias("n")), both, rows=asked)
+    joined = attach(pairs, moves, both, repeated)
+    joined = attach(joined, user_bias, "user_id", hot(pairs, "user_id", asked))
+    joined = attach(joined, item_bias, "business_id", hot(pairs, "business_id", asked))
     return joined.withColumns(
         {
             "cf": cf_score(bias_score(mean), gate),

@@ -37,8 +37,13 @@ def hot_keys(
     return None if hot.isEmpty() else hot
 
 
-def hot_by(counts: DataFrame, key: Key, size: str = "n") -> DataFrame | None:
-    """``hot_keys`` of ``counts`` by the column ``size``; one small job tells that no key is hot."""
+def hot_by(counts: DataFrame, key: Key, size: str = "n", rows: int | None = None) -> DataFrame | None:
+    """``hot_keys`` of ``counts`` by the column ``size``.
+
+    No key is hot where there are too few ``rows`` in all; otherwise one small job tells.
+    """
+    if rows is not None and rows < HOT_ROWS:
+        return None
     total = counts.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
     if total[1] < HOT_ROWS:
         return None
