@@ -105,7 +105,7 @@ def pack(parts: DataFrame, work: Workspace, capacity: int = 4096) -> DataFrame:
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     local = F.row_number().over(Window.partitionBy("length", "_part").orderBy("_place")) - 1
-    ranked = staged.withColumn("_local", local).join(firsts, ["length", "_part"])
+    ranked = staged.withColumn("_local", local).join(firsts.hint("merge"), ["length", "_part"])
     ranked = ranked.select(*columns, (F.col("_first") + F.col("_local")).alias("_rank"))
     plan = parts.sparkSession.sparkContext.broadcast(slots(patterns(histogram, capacity)))
 
