@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from starblend.workspace import Workspace
 
 #: Bytes of text that one vectorised step takes at once.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

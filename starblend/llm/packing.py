@@ -50,6 +50,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096) -
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             )
+        ids_of.rest()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 

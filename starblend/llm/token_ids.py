@@ -10,6 +10,8 @@ import numpy as np
 from starblend.llm.common import steps
 
 CACHE_WORDS = 600_000
+#: Words that a worker keeps when a task ends; beyond that it forgets all, as other operators need the memory.
+IDLE_WORDS = 100_000
 END = b" "  # not a word, so free to stand for the end of a text
 
 
@@ -59,6 +61,11 @@ class Encoder:
         self.flat = np.array([self.end_id], np.uint32)
         self.seen = np.zeros(1, np.int64)
 
+    def rest(self) -> None:
+        """To be called when a task has no more texts."""
+        if len(self.words) > IDLE_WORDS:
+            self._reset()
+
     def _forget(self) -> None:
         kept = np.flatnonzero(np.r_[True, self.seen[1:] > 1])
         if len(kept) > 0.7 * CACHE_WORDS:
