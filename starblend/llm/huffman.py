@@ -145,7 +145,6 @@ def write(docs: DataFrame, folder: str, work: Workspace, tokenizer: str, end_id:
                     names=["part", "doc_id", "start", "n_tokens", "ids"],
                 )
                 at = int(ends[-1])
-        ids_of.rest()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     ordered = texts.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")

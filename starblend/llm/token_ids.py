@@ -62,7 +62,7 @@ class Encoder:
         self.seen = np.zeros(1, np.int64)
 
     def rest(self) -> None:
-        """To be called when a task has no more texts."""
+        """To be called when a task of a longer job has no more texts."""
         if len(self.words) > IDLE_WORDS:
             self._reset()
 
