@@ -303,8 +303,8 @@ def _across(large: DataFrame, found: DataFrame, sets: DataFrame, work: Workspace
     return _team_links(work.table(teams, "across"), sets, work)
 
 
-def similarity_classes(docs: DataFrame, work: Workspace) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``)."""
+def _row_classes(docs: DataFrame, work: Workspace) -> DataFrame:
+    """``doc_id, n_shingles, component_id, fp1, fp2, root`` of every row of ``docs``; ``root`` is null for a class of one row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     settled = _settled(docs, work)
     reps = settled.where("open").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc_id"))
@@ -313,24 +313,59 @@ def similarity_classes(docs: DataFrame, work: Workspace) -> DataFrame:
     roots = components(_links(sets, work), work)
     of = reps.join(roots, reps["rid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "rid"))
     least = of.groupBy("root").agg(F.min("doc_id").alias("least"))
-    classes = work.table(of.join(least, "root").select("fp1", "fp2", "n", "least"), "classes")
+    classes = work.table(of.join(least, "root").select("fp1", "fp2", "n", "least", "root"), "classes")
     classes = classes.withColumn("open", F.lit(True))
     return settled.join(classes, ["fp1", "fp2", "n", "open"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"), "fp1", "fp2", "root",
     )
 
 
+def similarity_classes(docs: DataFrame, work: Workspace) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id, text``)."""
+    return _row_classes(docs, work).select("doc_id", "n_shingles", "component_id")
+
+
+def _with_sets(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_n, _fp1, _fp2`` of each row's set."""
+    columns = docs.columns
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = strings(batch.column("text"))
+            sizes, one, two = [], [], []
+            for lo, hi in steps(texts, CHUNK_BYTES):
+                sets = list(shingle_sets(texts[lo:hi]))
+                sizes += map(len, sets)
+                for out, values in zip((one, two), _fingerprints(sets), strict=True):
+                    out += values.tolist()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(x, pa.int64()) for x in (sizes, one, two))], names=[*columns, "_n", "_fp1", "_fp2"]
+            )
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{schema}, _n long, _fp1 long, _fp2 long")
+
+
 def representatives(docs: DataFrame, work: Workspace) -> DataFrame:
     """One document of each similarity class, the one with the least id, and one of each repeated row.
 
-    Rows with a null id stay; an id that occurs with several texts keeps those that are in no smaller class.
+    Rows with a null id stay.  Of an id that occurs with several texts each row is judged by its own class: it stays
+    if the class has no smaller id, and of the id's rows in one class the one with the least text stays.  Empty texts
+    are in no class: each different one stays.
     """
-    classes = work.table(similarity_classes(docs, work), "classes-of-rows")
-    dropped = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    classes = work.table(_row_classes(docs, work), "classes-of-rows")
     again = work.table(classes.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
+    dropped = classes.where("component_id <> doc_id").select("doc_id").distinct()
     if again.isEmpty():
-        return kept
-    repeated = kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(repeated)
+        return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(dropped.union(again).distinct(), "doc_id", "left_anti").select(docs.columns)
+    rows = _with_sets(docs.join(again, "doc_id", "left_semi").select(docs.columns))
+    least = classes.where("component_id = doc_id").join(again, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("_id"), F.col("n_shingles").alias("_n"), F.col("fp1").alias("_fp1"), F.col("fp2").alias("_fp2"),
+        F.col("root").alias("_root"),
+    ).distinct()
+    own = rows.join(least.withColumnRenamed("_id", "doc_id"), ["doc_id", "_n", "_fp1", "_fp2"])
+    alone = F.when(F.col("_root").isNull(), F.struct("text"))
+    one = own.groupBy("doc_id", "_root", alone.alias("_alone")).agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("_row"))
+    return kept.unionByName(one.select(*(F.col("_row")[c].alias(c) for c in docs.columns)))

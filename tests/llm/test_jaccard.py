@@ -80,6 +80,21 @@ def test_representatives(spark, work):
     assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([rows[1], rows[3], rows[4], rows[5]], key=repr)
 
 
+def test_representatives_of_an_id_with_several_texts(spark, work):
+    a, b = ("the very same words in this text", " ".join(f"word{i}" for i in range(30)))
+    near, other = b + " more", " ".join(f"other{i}" for i in range(30))
+    rows = [
+        (1, a, "", 1), (4, a, "", 2), (4, b, "", 3), (9, near, "", 4),  # the rows of 4 are of two classes
+        (5, other, "", 5), (5, other + " more", "", 6), (6, other, "", 7),  # both rows of 5 are of one class
+        (7, None, "", 8), (7, "", "", 9), (7, "found nowhere else at all", "", 10),
+    ]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    kept = jaccard.representatives(table, work)
+    assert kept.columns == table.columns
+    got = sorted((tuple(r) for r in kept.collect()), key=lambda r: r[3])
+    assert got == [rows[0], rows[2], rows[4], *rows[7:]]
+
+
 def test_tree_links_equal_pairs():
     rng = np.random.default_rng(4)
     sets = []
