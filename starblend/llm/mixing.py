@@ -6,11 +6,11 @@ are the nonnegative numbers, one for each document, that solve
 
     min  1/2 sum_k (S_k - T_k)^2 / g_k  +  ridge / 2 sum_d t_d (x_d - 1)^2,    S_k = sum_d x_d t_d p_dk
 
-with tokens t_d (words), posteriors p_dk and targets T_k as shares of all tokens, and g_k the share that domain k has
+with tokens t_d (ids of the production tokenizer and the end id, as packed), posteriors p_dk and targets T_k as shares of all tokens, and g_k the share that domain k has
 now.  Projected gradient steps are one aggregation each: only the K totals reach the driver, and a document's rate
 follows from its posterior by taking the same steps.  The ridge keeps rates near 1 and makes the answer unique.
 
-Defined cases: a null or empty text has no tokens and a rate of 1; it weighs nothing.  A domain no labelled document
+Defined cases: a text without words has no tokens and a rate of 1; it weighs nothing.  A domain no labelled document
 has gets posterior 0; its target is out of reach and left unmet.  Without labelled rows all posteriors are equal.
 Null ids are mixed like others.  Repeated rows get equal rates.  An empty table gives no rows.
 """
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from starblend.llm.common import _mix, steps, strings, word_hashes, word_spans
 from starblend.llm.learn import labelled_sample
+from starblend.llm.settings import END_ID, tokenizer_path
+from starblend.llm.token_ids import encoder
 from starblend.workspace import Workspace
 
 BITS = 17
@@ -95,19 +97,26 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> D
     return Domains([texts[i] for i in range(len(domains))])
 
 
-def with_posteriors(docs: DataFrame, model: Domains) -> DataFrame:
-    """``docs`` with ``n_tokens`` and the array ``posterior``; ``docs`` must have neither."""
+def with_posteriors(docs: DataFrame, model: Domains, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+    """``docs`` with ``n_tokens`` and the array ``posterior``; ``docs`` must have neither.
+
+    ``n_tokens`` counts the ids of ``tokenizer`` and the end id; a text without words has 0.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
 
     def run(batches):
+        ids_of = encoder(tokenizer, end_id)
         for batch in batches:
-            n, share = shared.value.posteriors(strings(batch.column("text")))
+            texts = strings(batch.column("text"))
+            words, share = shared.value.posteriors(texts)
+            n = np.fromiter(map(len, ids_of.encode(texts)), np.int64, len(texts)) * (words > 0)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * share.shape[1], pa.int32()), pa.array(share.ravel()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in columns if c != "text"), pa.array(n, pa.int64()), flat],
                 names=[*(c for c in columns if c != "text"), "n_tokens", "posterior"],
             )
+        ids_of.rest()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     return docs.mapInArrow(run, f"{schema}, n_tokens long, posterior array<double>")
@@ -201,13 +210,13 @@ def with_rates(rows: DataFrame, fitted: Rates | None) -> DataFrame:
     return rows.mapInArrow(apply, f"{schema}, rate double")
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace) -> DataFrame:
+def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace, tokenizer: str | None = None) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens``, ``posterior``, ``rate`` and ``copies``.
 
     ``copies`` is the rate rounded up or down, by a hash of the id, so that it is the rate in expectation.
     """
     model = learn_domains(docs, labelled, list(targets))
-    rows = work.table(with_posteriors(docs, model), "posteriors")
+    rows = work.table(with_posteriors(docs, model, tokenizer or tokenizer_path()), "posteriors")
     rated = with_rates(rows, fit_rates(rows, list(targets.values())))
     chance = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
     return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from starblend.llm import mixing
+from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, rate string, copies string, _key0 int, posterior int"
 
@@ -58,6 +59,21 @@ def test_posteriors_are_soft_and_targets_met(spark, work):
     assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, r in got.items() for _ in range(r.copies))
 
 
+def test_packed_ids_meet_the_targets(spark, work):
+    """Domains whose words have one id and many; one text is without white space."""
+    rng = np.random.default_rng(1)
+    words = {"a": ["the", "and", "that", "was"], "b": ["zqxvkjwpq", "xkqzvwjqk", "qjzkxvwqz", "wvqxkzjqp"]}
+    rows = [(i, " ".join(rng.choice(words["ab"[i % 2]], 30)), "ab"[i % 2]) for i in range(200)]
+    rows.append((900, "zqxvkjwpq" * 400, "b"))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, d) for i, _, d in rows if i % 3], "doc_id long, domain string")
+    got = {r.doc_id: r for r in mixing.rates(docs, labelled, {"a": 0.5, "b": 0.5}, work).collect()}
+    packed = {i: len(brute.ids(t)) for i, t, _ in rows}
+    assert {i: r.n_tokens for i, r in got.items()} == packed
+    weight = {d: sum(got[i].rate * packed[i] for i, _, e in rows if e == d) for d in "ab"}
+    assert abs(weight["a"] / sum(weight.values()) - 0.5) < 5e-3
+
+
 def test_defined_cases(spark, work):
     rows = [(1, "alpha beta", "", "", 1, 1), (1, "alpha beta", "", "", 1, 1), (2, None, None, None, None, None), (3, "", "", "", 1, 1), (None, "uno", "", "", 1, 1)]
     docs = spark.createDataFrame(rows, SCHEMA)
