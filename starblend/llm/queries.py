@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starblend.llm import chat, huffman, jaccard, mixing, nbsvm, packing, page_diff, rules, toxicity, voronoi
+from starblend.llm import byte_bpe, chat, divergence, huffman, jaccard, mixing, nbsvm, packing, page_diff, rules, toxicity, voronoi
 from starblend.llm.common import table, workspace
-from starblend.llm.settings import DOMAIN_TARGETS, END_ID, QUALITY_THRESHOLD, TOXIC_THRESHOLD, tokenizer_path
+from starblend.llm.settings import BYTE_TOKENIZER, DOMAIN_TARGETS, END_ID, QUALITY_THRESHOLD, TOXIC_THRESHOLD, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,6 +131,57 @@ def op6_incremental_chat_rendering(spark: SparkSession, sf_dir: str) -> DataFram
     return chat.digests(formatted)
 
 
+@query("""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+t AS (SELECT lang, source, r, term, count(*) AS c FROM (SELECT lang, source, r, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, CAST(sum(c) AS HUGEINT) AS m FROM t GROUP BY ALL HAVING count(*) >= 10),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(m) AS HUGEINT) AS total FROM kept GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gt AS (
+  SELECT g.lang, g.source, k.term, any_value(k.m) AS m, CAST(coalesce(sum(t.c), 0) AS HUGEINT) AS n
+  FROM g JOIN kept k USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term GROUP BY ALL
+),
+sums AS (SELECT lang, source, sum(n) AS total FROM gt GROUP BY ALL),
+parts AS (
+  SELECT gt.lang, gt.source, gt.term, gt.n,
+         1 + (CAST(1000000000 AS HUGEINT) * (gt.n + 2)) // CAST(s.total + 2 * l.v AS HUGEINT) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (gt.m + 2)) // CAST(l.total + 2 * l.v AS HUGEINT) AS q
+  FROM gt JOIN sums s USING (lang, source) JOIN langs l ON l.lang = gt.lang
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS HUGEINT) AS value
+  FROM parts a JOIN parts b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+found AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(p.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN pairs p ON p.lang = x.lang AND p.source = x.source AND p.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM parts WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10""")
+def op13_dominance_skyband_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), workspace(spark))
+
+
+@query()
+def op12_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(BYTE_TOKENIZER)
+    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
