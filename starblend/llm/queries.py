@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starblend.llm import byte_bpe, chat, divergence, huffman, jaccard, mixing, nbsvm, packing, page_diff, rules, toxicity, voronoi
+from starblend.llm import byte_bpe, chat, collocations, divergence, huffman, jaccard, mixing, nbsvm, packing, page_diff, rules, toxicity, voronoi
 from starblend.llm.common import table, workspace
 from starblend.llm.settings import BYTE_TOKENIZER, DOMAIN_TARGETS, END_ID, QUALITY_THRESHOLD, TOXIC_THRESHOLD, tokenizer_path
 
@@ -171,6 +171,40 @@ def op13_dominance_skyband_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), workspace(spark))
 
 
+@query("""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+') AS pieces
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY ALL),
+f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) t(k))
+  ) GROUP BY ALL HAVING count(*) >= 100
+),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, j, l.f AS l, r.f AS r, t.n, (1000 * c.f * t.n) // (l.f * r.f) AS score
+  FROM f c JOIN range(1, 5) s(j) ON j < c.k JOIN totals t ON t.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.k = j AND l.phrase = array_to_string(string_split(c.phrase, ' ')[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = array_to_string(string_split(c.phrase, ' ')[j + 1:], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f x WHERE x.lang = b.lang AND x.k > b.k AND 100 * x.f >= 100 * b.a
+      AND contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000""")
+def op11_quotient_filter_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 @query()
 def op12_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path(BYTE_TOKENIZER)
