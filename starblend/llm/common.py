@@ -92,16 +92,21 @@ def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+def span_hashes(joined: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from ``start`` to ``end`` of each span."""
+    ups, downs = _power_table(len(joined) + 1)
+    sums = np.zeros(len(joined) + 1, dtype=np.uint64)
+    np.cumsum(_LETTERS[joined] * ups[: len(joined)], out=sums[1:])
+    return _mix((sums[end] - sums[start]) * downs[start] + (end - start).astype(np.uint64))
+
+
 def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of ``texts`` in order, and each text's first word (one more at the end)."""
     joined = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
     if lower:
         joined = _LOWER[joined]
     start, end = word_spans(joined)
-    ups, downs = _power_table(len(joined) + 1)
-    sums = np.zeros(len(joined) + 1, dtype=np.uint64)
-    np.cumsum(_LETTERS[joined] * ups[: len(joined)], out=sums[1:])
-    hashes = _mix((sums[end] - sums[start]) * downs[start] + (end - start).astype(np.uint64))
+    hashes = span_hashes(joined, start, end)
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
     return hashes, np.searchsorted(start, begins)
 

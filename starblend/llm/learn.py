@@ -5,33 +5,37 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from starblend.llm.common import held_out
 
-#: Texts longer than this are scored but not learned from.
-LEARN_CHARS = 100_000
+#: Bytes of text that a class is learned from at the most, and bytes of a text beyond which another one takes its place.
+LEARN_BYTES = 64 << 20
+LONGEST_LEARNED = 4 << 20
 
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: dict[int, int]
 ) -> tuple[dict[int, list[bytes]], dict[int, int]]:
-    """At most ``rows[c]`` texts of each class in a fixed random order, and how many rows each class has in all.
+    """At most ``rows[c]`` texts and ``LEARN_BYTES`` of each class in a fixed random order, and how many rows each class has in all.
 
-    Rows of the held-out fold are never taken.  A document labelled twice counts with its lesser label.  The sample
-    is the only thing that reaches the driver; its size does not grow with the tables.
+    Rows of the held-out fold are never taken.  A document labelled twice counts with its lesser label, and of an id with
+    several texts the one with the least hash is taken.  The sample is the only thing that reaches the driver; it is cut to its
+    bounds before, so its size does not grow with the tables or the rows of an id.
     """
     named = labels.where(~held_out() & F.col(label).isin(*rows)).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     counts = {r["label"]: r["count"] for r in named.groupBy("label").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     texts: dict[int, list[bytes]] = {}
     for c, most in rows.items():
-        chosen = named.where(F.col("label") == c).orderBy(*order).limit(most)
-        found = (
-            docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= LEARN_CHARS)
-            .select("doc_id", F.col("text").cast("binary").alias("text")).collect()
-        )
-        found.sort(key=lambda r: ((r["doc_id"] * 0x9E3779B97F4A7C15) % 2**64, r["doc_id"], bytes(r["text"])))
-        texts[c] = [bytes(r["text"]) for r in found[:most]]
+        chosen = named.where(F.col("label") == c).orderBy(*order).limit(2 * most)  # twice as many, for those that are passed over
+        found = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+        found = found.where(F.octet_length("text") <= LONGEST_LEARNED)
+        found = found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        # a window without keys sees these few rows only
+        size = F.sum(F.octet_length("text")).over(Window.orderBy(*order))
+        taken = found.orderBy(*order).limit(most).withColumn("size", size).where(F.col("size") <= LEARN_BYTES)
+        texts[c] = [bytes(r["text"]) for r in taken.orderBy(*order).select("text").collect()]
     return texts, {c: counts.get(c, 0) for c in rows}
 
 

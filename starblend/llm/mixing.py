@@ -8,15 +8,22 @@ are the nonnegative numbers, one for each document, that solve
 
 with tokens t_d (ids of the production tokenizer and the end id, as packed), posteriors p_dk and targets T_k as shares of all tokens, and g_k the share that domain k has
 now.  Projected gradient steps are one aggregation each: only the K totals reach the driver, and a document's rate
-follows from its posterior by taking the same steps.  The ridge keeps rates near 1 and makes the answer unique.
+follows from its posterior by taking the same steps.  The ridge keeps rates near 1 and makes the answer unique.  With
+``most`` given, rates are projected on ``0 <= x <= most``, which bounds the copies of a row; ``reached`` tells which targets that
+leaves unmet.
+
+A row carries its columns, posterior and rate together through the whole job, so nothing is joined back by an id.
 
 Defined cases: a text without words has no tokens and a rate of 1; it weighs nothing.  A domain no labelled document
 has gets posterior 0; its target is out of reach and left unmet.  Without labelled rows all posteriors are equal.
-Null ids are mixed like others.  Repeated rows get equal rates.  An empty table gives no rows.
+Rows of a null or repeated id are each mixed by their own text; rows alike in id and text get equal rates and copies.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +39,7 @@ BITS = 17
 STRETCH = 16
 #: Labelled rows learned from, for each domain.
 SAMPLE = 1000
+#: Rounds of the fit at the most; one that is not done by then warns and says so in ``Rates.converged``.
 ROUNDS = 200
 
 
@@ -98,35 +106,33 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> D
 
 
 def with_posteriors(docs: DataFrame, model: Domains, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """``docs`` with ``n_tokens`` and the array ``posterior``; ``docs`` must have neither.
+    """``docs`` with ``n_tokens`` and the array ``posterior``; ``docs`` must have neither.  ``text`` goes.
 
     ``n_tokens`` counts the ids of ``tokenizer`` and the end id; a text without words has 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         ids_of = encoder(tokenizer, end_id)
         for batch in batches:
             texts = strings(batch.column("text"))
             words, share = shared.value.posteriors(texts)
-            n = np.fromiter(map(len, ids_of.encode(texts)), np.int64, len(texts)) * (words > 0)
+            n = ids_of.lengths(texts) * (words > 0)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * share.shape[1], pa.int32()), pa.array(share.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns if c != "text"), pa.array(n, pa.int64()), flat],
-                names=[*(c for c in columns if c != "text"), "n_tokens", "posterior"],
-            )
+            yield pa.RecordBatch.from_arrays([*map(batch.column, columns), pa.array(n, pa.int64()), flat], names=[*columns, "n_tokens", "posterior"])
         ids_of.rest()
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     return docs.mapInArrow(run, f"{schema}, n_tokens long, posterior array<double>")
 
 
 class Rates:
     """The gradient steps taken so far; a row's rate follows from its posterior by taking them again."""
 
-    def __init__(self, step: float, ridge: float):
-        self.step, self.ridge = step, ridge
+    def __init__(self, step: float, ridge: float, most: float | None = None):
+        self.step, self.ridge, self.most = step, ridge, most
+        self.converged = False
         self.taken: list[tuple[np.ndarray, float]] = []
 
     def replay(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,7 +141,7 @@ class Rates:
         keep = self.step * self.ridge
         for pull, momentum in self.taken:
             before, at = x, ahead
-            x = np.maximum(0.0, (1 - keep) * at - p @ pull + keep)
+            x = np.clip((1 - keep) * at - p @ pull + keep, 0.0, self.most)
             ahead = x + momentum * (x - before)
         return before, x, at, ahead
 
@@ -145,11 +151,13 @@ def _posteriors(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.empty((0, 1))
 
 
-def fit_rates(rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolerance: float = 1e-5) -> Rates | None:
+def fit_rates(
+    rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolerance: float = 1e-5, most: float | None = None, rounds: int = ROUNDS
+) -> Rates | None:
     """Rates for ``rows`` (``n_tokens, posterior``) by projected gradient steps with momentum; None without tokens.
 
     A round is one pass that sums a few numbers.  It ends when the rates move by less than ``tolerance`` (root mean
-    square over tokens), after ``ROUNDS`` rounds at the latest.
+    square over tokens), or with a warning after ``rounds`` rounds.
     """
     k = len(targets)
     weight = np.array(targets, float) / sum(targets)
@@ -165,7 +173,7 @@ def fit_rates(rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolera
     scale = np.where(now > 1e-12, 1 / np.maximum(now, 1e-12), 0.0)
     root = np.sqrt(scale)
     step = 1 / (float(np.linalg.eigvalsh(root[:, None] * gram * root[None, :])[-1]) + ridge)
-    rates = Rates(step, ridge)
+    rates = Rates(step, ridge, most)
 
     def sums(batches):
         total = np.zeros(k + 2)
@@ -178,19 +186,22 @@ def fit_rates(rows: DataFrame, targets: list[float], ridge: float = 1e-3, tolera
 
     shape = ", ".join(f"v{j} double" for j in range(k + 2))
     totals, age = now, 1.0
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         following = (1 + np.sqrt(1 + 4 * age * age)) / 2
         rates.taken.append((step * scale * (totals - weight), (age - 1) / following))
         age = following
         found = rows.select("n_tokens", "posterior").mapInArrow(sums, shape).agg(*(F.sum(f"v{j}") for j in range(k + 2))).first()
         totals, turned, moved = np.array(found[:k]) / tokens, found[k], found[k + 1]
         if moved / tokens < tolerance**2:
+            rates.converged = True
             break
         if turned > 0:  # the momentum points uphill: let it go, and take the next gradient at the rates themselves
             rates.taken[-1] = (rates.taken[-1][0], 0.0)
             age = 1.0
             found = rows.select("n_tokens", "posterior").mapInArrow(sums, shape).agg(*(F.sum(f"v{j}") for j in range(k))).first()
             totals = np.array(found[:k]) / tokens
+    if not rates.converged:
+        warnings.warn(f"mixing rates still moved after {rounds} rounds", stacklevel=2)
     return rates
 
 
@@ -210,16 +221,36 @@ def with_rates(rows: DataFrame, fitted: Rates | None) -> DataFrame:
     return rows.mapInArrow(apply, f"{schema}, rate double")
 
 
-def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace, tokenizer: str | None = None) -> DataFrame:
-    """``docs`` without ``text``, with ``n_tokens``, ``posterior``, ``rate`` and ``copies``.
+def _with_copies(rated: DataFrame, *identity: str) -> DataFrame:
+    """``rated`` with ``copies``: the rate rounded up or down by a hash, so that it is the rate in expectation."""
+    chance = F.pmod(F.xxhash64(F.lit(9), *identity), F.lit(1 << 40)) / float(1 << 40)
+    return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
 
-    ``copies`` is the rate rounded up or down, by a hash of the id, so that it is the rate in expectation.
-    """
+
+def rates(
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace, tokenizer: str | None = None, most: float | None = None
+) -> DataFrame:
+    """``docs`` without ``text``, with ``n_tokens``, ``posterior``, ``rate`` and ``copies``; ``docs`` must have none of them."""
     model = learn_domains(docs, labelled, list(targets))
-    rows = work.table(with_posteriors(docs, model, tokenizer or tokenizer_path()), "posteriors")
-    rated = with_rates(rows, fit_rates(rows, list(targets.values())))
-    chance = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+    rows = work.table(with_posteriors(marked, model, tokenizer or tokenizer_path()), "posteriors")
+    rated = with_rates(rows, fit_rates(rows, list(targets.values()), most=most))
+    return _with_copies(rated, "doc_id", "_text").drop("_text")
+
+
+def reached(rated: DataFrame, targets: dict[str, float]) -> DataFrame:
+    """``domain, target, before, by_rates, by_copies``: shares of the tokens of ``rated`` (from ``rates``)."""
+    names, wanted = list(targets), np.array(list(targets.values())) / sum(targets.values())
+    each = F.explode(F.arrays_zip(F.array(*map(F.lit, names)).alias("domain"), F.col("posterior")))
+    rows = rated.select("n_tokens", "rate", "copies", each.alias("of")).select("*", "of.domain", (F.col("n_tokens") * F.col("of.posterior")).alias("t"))
+    sums = rows.groupBy("domain").agg(
+        F.sum("t").alias("before"), F.sum(F.col("t") * F.col("rate")).alias("by_rates"), F.sum(F.col("t") * F.col("copies")).alias("by_copies")
+    )
+    whole = sums.agg(*(F.sum(c).alias(f"all_{c}") for c in ("before", "by_rates", "by_copies")))
+    target = F.element_at(F.create_map(*(F.lit(v) for pair in zip(names, wanted.tolist(), strict=True) for v in pair)), F.col("domain"))
+    return sums.join(F.broadcast(whole)).select(
+        "domain", target.alias("target"), *(F.try_divide(F.col(c), F.col(f"all_{c}")).alias(c) for c in ("before", "by_rates", "by_copies"))
+    )
 
 
 def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -227,12 +258,14 @@ def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id").distinct(), "doc_id")
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace) -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], work: Workspace, most: float | None = None) -> DataFrame:
     """The rows of ``docs``, each as often as its rate says, with all their columns."""
-    taken = {c.lower() for c in docs.columns}
-    key, copies = (next(n for i in range(len(taken) + 1) if (n := f"_{name}{i}") not in taken) for name in ("key", "copies"))
-    found = rates(docs.select("doc_id", "text"), labelled, targets, work)
-    found = found.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(copies))
-    joined = docs.join(found.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(key)), "left")
-    times = F.sequence(F.lit(1), F.col(copies).cast("int"))
-    return joined.where(F.col(copies) > 0).withColumn(key, F.explode(times)).select(docs.columns)
+    model = learn_domains(docs, labelled, list(targets))
+    columns = docs.columns
+    plain = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)), "text")
+    rows = work.table(with_posteriors(plain, model, tokenizer_path()), "posteriors")
+    rated = with_rates(rows, fit_rates(rows, list(targets.values()), most=most))
+    hashed = rated.withColumn("hash", F.xxhash64(f"c{columns.index('text')}"))
+    copied = _with_copies(hashed, f"c{columns.index('doc_id')}", "hash").where(F.col("copies") > 0)
+    copied = copied.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return copied.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))

@@ -74,6 +74,45 @@ def test_packed_ids_meet_the_targets(spark, work):
     assert abs(weight["a"] / sum(weight.values()) - 0.5) < 5e-3
 
 
+def test_each_row_of_an_id_has_its_own_copies(spark, work):
+    rows = corpus()
+    docs = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t, d, "", 1, 2) for i, t, d in rows]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    texts = {t: d for _, t, d, *_ in docs}
+    named = spark.createDataFrame([(i, d) for i, _, d, *_ in docs if i and i != 7 and d], "doc_id long, domain string")
+    targets = {"a": 0.2, "b": 0.6, "c": 0.2}
+    out = mixing.mixed(frame, named, targets, work).collect()
+    count = {d: 0 for d in "abc"}
+    for r in out:
+        assert r.rate == texts[r.text]  # the column of that name belongs to the table
+        if r.rate:
+            count[r.rate] += 1
+    total = sum(count.values())
+    assert abs(count["a"] / total - 0.2) < 0.08 and abs(count["b"] / total - 0.6) < 0.08
+    own = {r.doc_id for r in out}
+    assert None in own and 7 in own
+
+
+def test_rates_can_be_bounded(spark, work):
+    """One document of a rare domain is asked for far more often than the bound allows."""
+    rows = [(i, "alpha beta gamma delta " * 10, "a") for i in range(200)] + [(900, "uno dos tres cuatro", "b")]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    named = spark.createDataFrame([(i, d) for i, _, d in rows], "doc_id long, domain string")
+    targets = {"a": 0.5, "b": 0.5}
+    assert max(r.rate for r in mixing.rates(docs, named, targets, work).collect()) > 50
+    bounded = mixing.rates(docs, named, targets, work, most=4)
+    assert max(r.rate for r in bounded.collect()) == 4
+    told = {r.domain: r for r in mixing.reached(bounded, targets).collect()}
+    assert told["b"].target == 0.5 and told["b"].by_rates < 0.3
+
+
+def test_unfinished_fits_warn(spark):
+    rows = spark.createDataFrame([(5, [0.9, 0.1]), (7, [0.2, 0.8])], "n_tokens long, posterior array<double>")
+    with pytest.warns(UserWarning, match="2 rounds"):
+        assert not mixing.fit_rates(rows, [0.9, 0.1], rounds=2).converged
+    assert mixing.fit_rates(rows, [0.6, 0.4]).converged
+
+
 def test_defined_cases(spark, work):
     rows = [(1, "alpha beta", "", "", 1, 1), (1, "alpha beta", "", "", 1, 1), (2, None, None, None, None, None), (3, "", "", "", 1, 1), (None, "uno", "", "", 1, 1)]
     docs = spark.createDataFrame(rows, SCHEMA)
@@ -82,5 +121,6 @@ def test_defined_cases(spark, work):
         got = mixing.rates(docs.select("doc_id", "text"), labelled, {"a": 1.0, "b": 1.0}, work).collect()
         assert len(got) == 5 and all(r.rate >= 0 and abs(sum(r.posterior) - 1) < 1e-9 for r in got)
         assert all(r.rate == 1 and r.copies == 1 for r in got if r.n_tokens == 0)
-        mixing.mixed(docs, labelled, {"a": 1.0, "b": 1.0}, work).collect()
+        mixed = mixing.mixed(docs, labelled, {"a": 1.0, "b": 1.0}, work).collect()
+        assert {(r.doc_id, r.text) for r in mixed} >= {(2, None), (3, "")}
     assert mixing.rates(docs.select("doc_id", "text").limit(0), labelled, {"a": 1.0}, work).collect() == []
