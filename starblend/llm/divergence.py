@@ -22,6 +22,7 @@ columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -169,23 +170,47 @@ def pair_values(found: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 class Skyband:
-    """Terms of one group that fewer than ``k`` others dominate, offered by falling ``n``, then rising ``m``, then name."""
+    """Terms of one group that fewer than ``k`` others dominate, offered by falling ``n``, then rising ``m``, then name.
+
+    ``marks`` holds, for the kept terms by rising ``m``, the k-th earliest name so far: a term behind it has k that dominate it.
+    It is made anew when a quarter more terms are kept; in between it lets some pass, which are compared with all.
+    """
 
     def __init__(self, k: int):
         self.k = k
         self.m = np.empty(64, np.int64)
         self.names: list[bytes] = []
+        self.sorted_m: list[int] = []
+        self.marks: list[bytes] = []
+        self.renew = 2 * k
+
+    def _mark(self) -> None:
+        order = np.argsort(self.m[: len(self.names)], kind="stable").tolist()
+        earliest: list[bytes] = []
+        self.sorted_m, self.marks = [], []
+        for i in order:
+            insort(earliest, self.names[i])
+            del earliest[self.k :]
+            if len(earliest) == self.k:
+                self.sorted_m.append(int(self.m[i]))
+                self.marks.append(earliest[-1])
+        self.renew = len(self.names) * 5 // 4 + 1
 
     def offer(self, m: int, name: bytes) -> bool:
         """Whether the term is kept.  All that dominate it were offered before, and k of those that were kept do so too."""
+        at = bisect_right(self.sorted_m, m)
+        if at and self.marks[at - 1] < name:
+            return False
         size = len(self.names)
         lower = np.flatnonzero(self.m[:size] <= m)
-        if len(lower) >= self.k and sum(self.names[i] < name for i in lower) >= self.k:
+        if len(lower) >= self.k and sum(self.names[i] < name for i in lower.tolist()) >= self.k:
             return False
         if size == len(self.m):
             self.m = np.concatenate([self.m, np.empty(size, np.int64)])
         self.m[size] = m
         self.names.append(name)
+        if len(self.names) >= self.renew:
+            self._mark()
         return True
 
 
