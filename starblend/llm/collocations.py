@@ -1,8 +1,9 @@
 """Phrase collocations from counting quotient filters.
 
-1. Tasks turn texts into streams of word numbers of their own, one stream for about ``CHUNK_WORDS`` words of a language, and say
-   how often each word occurs in it.  Words that occur at least ``least`` times in their language get dense ids, which go
-   back to the streams that hold them; every other word ends a run like punctuation does, as no phrase with it is frequent.
+1. Tasks turn texts into streams of word numbers of their own, one stream for about ``CHUNK_WORDS`` words of a language, and
+   send its different words with their counts, packed by hash bucket.  Words that occur at least ``least`` times in their language
+   get dense ids, which go back to the streams that hold them; every other word ends a run like punctuation does, as no phrase
+   with it is frequent.
 2. For 2 to 5 words in turn, each task counts the phrases of its streams in a quotient filter (``quotient_filter.py``), cut into
    buckets by its first bits.  The sorted filters of all tasks are merged bucket by bucket.  What occurs ``least`` times stays.
    A phrase is counted only if both phrases that are one word shorter may be frequent.  Tasks ask a map of
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +34,6 @@ from pyspark.sql.window import Window
 
 from starblend.llm.common import STEP_BYTES, strings
 from starblend.llm.quotient_filter import Lanes, Shape
-from starblend.operators.ids import dense_ids
 from starblend.workspace import Workspace
 
 LONGEST = 5
@@ -90,23 +91,42 @@ class _Stream:
             self.words += len(self.parts[-1])
         return len(numbers) - before
 
-    def row(self, chunk: int, lang: str) -> pa.RecordBatch:
-        stream = np.concatenate(self.parts)
+    def rows(self, chunk: int, lang: str, bits: int) -> pa.RecordBatch:
+        """The stream, and its words by bucket; they are numbered anew in the order of their buckets."""
         words = list(self.numbers)[2:]
+        bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & ((1 << bits) - 1)
+        order = np.argsort(bucket, kind="stable")
+        number = np.zeros(len(words) + 1, np.int32)
+        number[order + 1] = np.arange(1, len(words) + 1)
+        stream = number[np.concatenate(self.parts)]
         times = np.bincount(stream, minlength=len(words) + 1)[1:]
-        bounds = pa.array([0, len(words)], pa.int32())
+        bucket = bucket[order]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(words) else np.empty(0, np.int64)
+        bounds = pa.array(np.r_[0, first, len(words)] if len(words) else [0, 0], pa.int32())
+        n = len(bounds) - 1
+        spelled = pa.array([words[i] for i in order.tolist()], pa.binary()).cast(pa.string())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([chunk], pa.int64()), pa.array([lang], pa.string()),
-                pa.ListArray.from_arrays(bounds, pa.array(words, pa.binary()).cast(pa.string())),
-                pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())), pa.array([stream.tobytes()], pa.binary()),
+                pa.array(np.full(n, chunk), pa.int64()), pa.array([-1, *bucket[first].tolist()], pa.int32()),
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))),
+                pa.ListArray.from_arrays(bounds, spelled), pa.ListArray.from_arrays(bounds, pa.array(times, pa.int64())),
+                pa.array([_pressed(stream), *[None] * (n - 1)], pa.binary()),
             ],
-            names=["chunk", "lang", "words", "times", "stream"],
+            names=["chunk", "bucket", "lang", "words", "times", "stream"],
         )
 
 
+def _pressed(stream: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(stream, "<i4").tobytes())
+
+
+def _unpressed(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i4")
+
+
 def _streams(docs: DataFrame, work: Workspace) -> DataFrame:
-    """``chunk, lang, words, times, stream``: word number i is ``words[i - 1]``."""
+    """``chunk, bucket, lang, words, times, stream``: bucket -1 has the stream of a chunk, the others its words in order."""
+    bits = min(17, docs.rdd.getNumPartitions().bit_length() + 1)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         chunk, held, streams = TaskContext.get().partitionId() << 32, 0, {}
@@ -115,42 +135,75 @@ def _streams(docs: DataFrame, work: Workspace) -> DataFrame:
                 stream = streams.setdefault(lang, _Stream())
                 held += stream.add(text) + 1
                 if stream.words >= CHUNK_WORDS:
-                    yield streams.pop(lang).row(chunk, lang)
+                    yield streams.pop(lang).rows(chunk, lang, bits)
                     held -= len(stream.numbers)
                     chunk += 1
                 if held >= OPEN_WORDS:
                     for name, stream in streams.items():
-                        yield stream.row(chunk, name)
+                        yield stream.rows(chunk, name, bits)
                         chunk += 1
                     held, streams = 0, {}
         for name, stream in streams.items():
-            yield stream.row(chunk, name)
+            yield stream.rows(chunk, name, bits)
             chunk += 1
 
     named = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    schema = "chunk long, lang string, words array<string>, times array<long>, stream binary"
+    schema = "chunk long, bucket int, lang string, words array<string>, times array<long>, stream binary"
     return work.table(named.mapInArrow(run, schema), "streams")
 
 
-def _id_streams(streams: DataFrame, vocabulary: DataFrame, work: Workspace) -> DataFrame:
-    """``ids``: the streams in ids of ``vocabulary`` (``lang, word, id``); 0 for the end of a piece and for any other word."""
-    words = streams.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
-    answers = words.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list("at").alias("at"), F.collect_list("id").alias("id")
-    )
+def _answers(streams: DataFrame, least: int, work: Workspace) -> DataFrame:
+    """Of each bucket its frequent words (``lang, word, n, local``), and for each chunk (``chunk, locals``) which of them it sent.
+
+    ``local`` counts the frequent words of a bucket from 1 and is 0 for any other word.
+    """
+
+    def count(key, table):
+        table = table.combine_chunks()
+        lists = table.column("words").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        words, lang = lists.flatten().dictionary_encode(), table.column("lang").combine_chunks().dictionary_encode()
+        code = words.indices.to_numpy() + len(words.dictionary) * np.repeat(lang.indices.to_numpy().astype(np.int64), size)
+        code, first, back = np.unique(code, return_index=True, return_inverse=True)
+        order = np.argsort(back, kind="stable")
+        times = table.column("times").combine_chunks().flatten().to_numpy()
+        total = np.add.reduceat(times[order], np.r_[0, np.cumsum(np.bincount(back))[:-1]]) if len(code) else np.empty(0, np.int64)
+        local = np.cumsum(total >= least) * (total >= least)
+        often, found = np.flatnonzero(local), len(table)
+        ends = np.cumsum(size)
+        locals_of = local[back].astype("<i4")
+        n = len(often)
+        return pa.table({
+            "bucket": pa.array(np.full(n + found, key[0].as_py()), pa.int32()),
+            "lang": pa.chunked_array([lang.dictionary.take(pa.array(code[often] // max(1, len(words.dictionary)))), pa.nulls(found, pa.string())]),
+            "word": pa.chunked_array([words.dictionary.take(pa.array(code[often] % max(1, len(words.dictionary)))), pa.nulls(found, pa.string())]),
+            "n": pa.chunked_array([pa.array(total[often], pa.int64()), pa.nulls(found, pa.int64())]),
+            "local": pa.chunked_array([pa.array(local[often], pa.int64()), pa.nulls(found, pa.int64())]),
+            "chunk": pa.chunked_array([pa.nulls(n, pa.int64()), table.column("chunk").combine_chunks()]),
+            "locals": pa.array([*[None] * n, *(_pressed(locals_of[b - k : b]) for b, k in zip(ends, size, strict=True))], pa.binary()),
+        })
+
+    sent = streams.where("bucket >= 0").select("bucket", "chunk", "lang", "words", "times")
+    schema = "bucket int, lang string, word string, n long, local long, chunk long, locals binary"
+    return work.table(sent.groupBy("bucket").applyInArrow(count, schema), "answers")
+
+
+def _id_streams(streams: DataFrame, answers: DataFrame, offsets: dict[int, int], work: Workspace) -> DataFrame:
+    """``ids``: the streams in ids; 0 for the end of a piece and for any word that is not frequent."""
+    replies = answers.where("chunk IS NOT NULL").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "locals"))).alias("replies"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            columns = (batch.column(c) for c in ("stream", "size", "at", "id"))
-            for stream, size, at, ids in zip(*columns, strict=True):
-                known = np.zeros(size.as_py() + 1, np.uint32)
-                known[np.array(at.values) + 1] = np.array(ids.values)
-                found = known[np.frombuffer(stream.as_buffer(), np.int32)]
-                out.append(found[(found > 0) | np.r_[True, found[:-1] > 0]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
-
-    joined = streams.select("chunk", "stream", F.size("words").alias("size")).join(answers, "chunk")
+            for stream, told in zip(batch.column("stream"), batch.column("replies"), strict=True):
+                known = [np.zeros(1, np.int64)]
+                for reply in told.as_py():
+                    local = _unpressed(reply["locals"]).astype(np.int64)
+                    known.append(np.where(local > 0, local + offsets.get(reply["bucket"], 0), 0))
+                found = np.concatenate(known)[_unpressed(stream.as_py())]
+                found = found[(found > 0) | np.r_[True, found[:-1] > 0]]
+                yield pa.RecordBatch.from_arrays([pa.array([_pressed(found)], pa.binary())], names=["ids"])
+
+    joined = streams.where("bucket = -1").select("chunk", "stream").join(replies, "chunk")
     return work.table(joined.drop("chunk").mapInArrow(run, "ids binary"), "id-streams")
 
 
@@ -186,7 +239,7 @@ def _counted(ids: DataFrame, shapes: dict[int, Shape], marks: dict, words: int,
 
         for batch in batches:
             for data in batch.column("ids"):
-                held.append(_phrases(np.frombuffer(data.as_buffer(), np.uint32), shapes, shared.value, words))
+                held.append(_phrases(_unpressed(data.as_py()), shapes, shared.value, words))
                 if sum(len(lanes[0]) for lanes in held) >= HELD:
                     yield rows()
         if held:
@@ -237,18 +290,18 @@ def _listed(counted: DataFrame, shape: Shape, bucket_bits: int) -> DataFrame:
     return counted.select("bucket", "data").mapInArrow(run, "gram array<int>, f long")
 
 
-def vocabulary(streams: DataFrame, least: int, work: Workspace) -> DataFrame:
-    """``lang, word, n, id`` of the frequent words; ids count from 1."""
-    words = streams.select("lang", F.explode(F.arrays_zip("words", "times")).alias("w"))
-    counted = words.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.times").alias("n"))
-    numbered = dense_ids(counted.where(F.col("n") >= least), "word", "id", work)
-    return work.table(numbered.withColumn("id", (F.col("id") + 1).cast("int")), "vocabulary")
-
-
-def frequent_phrases(streams: DataFrame, words: DataFrame, least: int, work: Workspace) -> DataFrame:
-    """``gram, f``: every word and phrase of up to ``LONGEST`` words with its count, as ids of ``words``."""
-    ids = _id_streams(streams, words, work)
-    bits = max(1, int(words.agg(F.max("id")).first()[0] or 1).bit_length())
+def frequent_phrases(streams: DataFrame, least: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """``id, lang, word`` of the frequent words, and ``gram, f``: each of them and each phrase of up to ``LONGEST``, with its count."""
+    answers = _answers(streams, least, work)
+    often = answers.where("word IS NOT NULL")
+    offsets, at = {}, 0  # at most as many as there are buckets
+    for row in often.groupBy("bucket").count().collect():
+        offsets[row["bucket"]], at = at, at + row["count"]
+    starts = streams.sparkSession.createDataFrame(list(offsets.items()), "bucket int, start long")
+    words = often.join(F.broadcast(starts), "bucket").select((F.col("start") + F.col("local")).cast("int").alias("id"), "lang", "word", "n")
+    words = work.table(words, "vocabulary")
+    ids = _id_streams(streams, answers, offsets, work)
+    bits = max(1, at.bit_length())
     shapes = {k: Shape(k, bits) for k in range(2, LONGEST + 1)}
     partitions = (4 * ids.rdd.getNumPartitions()).bit_length()
     marks: dict[int, np.ndarray] = {}
@@ -259,7 +312,7 @@ def frequent_phrases(streams: DataFrame, words: DataFrame, least: int, work: Wor
         out = out.unionByName(_listed(counted, shape, bucket_bits))
         if k < LONGEST:
             marks = {**marks, k: _marks(counted, shape, bucket_bits)}
-    return work.table(out, "frequent")
+    return words.select("id", "lang", "word"), work.table(out, "frequent")
 
 
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -272,8 +325,7 @@ def collocations(docs: DataFrame, work: Workspace, least: int = 100, most: int =
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``most`` phrases."""
     streams = _streams(docs, work)
     totals = streams.groupBy("lang").agg(F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
-    words = vocabulary(streams, least, work)
-    found = frequent_phrases(streams, words, least, work)
+    words, found = frequent_phrases(streams, least, work)
 
     size = F.size("gram")
     longer = found.where(size > 2).select(
@@ -284,7 +336,7 @@ def collocations(docs: DataFrame, work: Workspace, least: int = 100, most: int =
     cuts = cuts.withColumn("left", F.slice("gram", F.lit(1), F.col("k"))).withColumn("right", F.slice("gram", F.col("k") + 1, size - F.col("k")))
     cuts = cuts.join(found.select(F.col("gram").alias("left"), F.col("f").alias("l")), "left")
     cuts = cuts.join(found.select(F.col("gram").alias("right"), F.col("f").alias("r")), "right")
-    words = words.select("id", "lang", "word").join(totals, "lang")
+    words = words.join(totals, "lang")
     scored = cuts.join(words.drop("word"), F.element_at("left", 1) == F.col("id"))
     scored = scored.withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
     best = scored.groupBy("gram", "lang", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
