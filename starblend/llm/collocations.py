@@ -207,7 +207,7 @@ def _id_streams(streams: DataFrame, answers: DataFrame, offsets: dict[int, int],
     return work.table(joined.drop("chunk").mapInArrow(run, "ids binary"), "id-streams")
 
 
-def _phrases(ids: np.ndarray, shapes: dict[int, Shape], marks: dict[int, np.ndarray], words: int) -> Lanes:
+def _phrases(ids: np.ndarray, shapes: dict[int, Shape], marks: dict[int, np.ndarray], words: int, mark_bits: int) -> Lanes:
     """The permuted phrases of ``words`` ids whose shorter parts may all be frequent."""
     open_at = ids > 0
     for k in range(2, words + 1):
@@ -215,7 +215,7 @@ def _phrases(ids: np.ndarray, shapes: dict[int, Shape], marks: dict[int, np.ndar
         at = np.flatnonzero(open_at)
         lanes = shapes[k].permute(shapes[k].pack([ids[at + j] for j in range(k)]))
         if k < words:
-            bit = shapes[k].head(lanes, min(MARK_BITS, shapes[k].head_bits))
+            bit = shapes[k].head(lanes, min(mark_bits, shapes[k].head_bits))
             open_at[at[(marks[k][bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 0]] = False
     return lanes
 
@@ -223,7 +223,8 @@ def _phrases(ids: np.ndarray, shapes: dict[int, Shape], marks: dict[int, np.ndar
 def _counted(ids: DataFrame, shapes: dict[int, Shape], marks: dict, words: int, bucket_bits: int, least: int, work: Workspace) -> DataFrame:
     """``bucket, data, marks`` of the frequent phrases of ``words`` ids; ``marks`` is the bucket's slice of the bit map."""
     shape = shapes[words]
-    mark_bits = min(MARK_BITS, shape.head_bits)
+    most_bits = MARK_BITS
+    mark_bits = min(most_bits, shape.head_bits)
     shared = ids.sparkSession.sparkContext.broadcast(marks)
 
     def send(batches) -> Iterator[pa.RecordBatch]:
@@ -239,13 +240,13 @@ def _counted(ids: DataFrame, shapes: dict[int, Shape], marks: dict, words: int,
 
         for batch in batches:
             for data in batch.column("ids"):
-                held.append(_phrases(_unpressed(data.as_py()), shapes, shared.value, words))
+                held.append(_phrases(_unpressed(data.as_py()), shapes, shared.value, words, most_bits))
                 if sum(len(lanes[0]) for lanes in held) >= HELD:
                     yield rows()
         if held:
             yield rows()
 
-    def merge(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def merge(key, frame):
         bucket = int(key[0])
         parts = [shape.read(bucket, data, bucket_bits) for data in frame["data"]]
         lanes, counts = shape.tally(
@@ -307,7 +308,7 @@ def frequent_phrases(streams: DataFrame, least: int, work: Workspace) -> tuple[D
     marks: dict[int, np.ndarray] = {}
     out = words.select(F.array("id").alias("gram"), F.col("n").alias("f"))
     for k, shape in shapes.items():
-        bucket_bits = max(0, min(partitions, 17, shape.head_bits - 3))
+        bucket_bits = max(0, min(partitions, 17, MARK_BITS - 3, shape.head_bits - 3))
         counted = _counted(ids, shapes, marks, k, bucket_bits, least, work)
         out = out.unionByName(_listed(counted, shape, bucket_bits))
         if k < LONGEST:
