@@ -40,19 +40,21 @@ def fit_biases(
     by_user = KeyedRows(history, "user_id", hot_users, work, rows)
     by_item = KeyedRows(history, "business_id", hot_items, work, rows)
     off_mean = F.col("stars") - F.lit(float(mean))
-    user_bias = work.table(_shrunk_mean(history, "user_id", "bu", off_mean, lam), "user-bias")
-    for last in range(1, rounds + 1):
-        item_bias = work.table(
-            _shrunk_mean(by_user.attach(user_bias), "business_id", "bi", off_mean - F.col("bu"), lam),
-            "item-bias",
-        )
-        if last < rounds:
-            user_bias = work.table(
-                _shrunk_mean(by_item.attach(item_bias), "user_id", "bu", off_mean - F.col("bi"), lam),
-                "user-bias",
+    try:
+        user_bias = work.table(_shrunk_mean(history, "user_id", "bu", off_mean, lam), "user-bias")
+        for last in range(1, rounds + 1):
+            item_bias = work.table(
+                _shrunk_mean(by_user.attach(user_bias), "business_id", "bi", off_mean - F.col("bu"), lam),
+                "item-bias",
             )
-    by_user.release()
-    by_item.release()
+            if last < rounds:
+                user_bias = work.table(
+                    _shrunk_mean(by_item.attach(item_bias), "user_id", "bu", off_mean - F.col("bi"), lam),
+                    "user-bias",
+                )
+    finally:
+        by_user.release()
+        by_item.release()
     return user_bias, item_bias
 
 

@@ -79,32 +79,83 @@ def item_pairs(ratings: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     return light.unionByName(paired(blocked, ["user_id", "_i", "_j"], crosses))
 
 
+def item_tails(ratings: DataFrame) -> DataFrame:
+    """``user_id, business_id, stars``: of each item's raters the last two by how many items they rated.
+
+    Two items with ``MIN_SUPPORT`` = 3 common raters share one that is among the last two of neither, as the first of the
+    three in that order has two behind it on both sides.  A user who rated some item twice counts several times there, and so
+    is in no tail.
+    """
+    once = ratings.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("c"))
+    users = once.groupBy("user_id").agg(F.count(F.lit(1)).alias("rated"), F.max("c").alias("most")).where("most = 1")
+    rows = ratings.select("user_id", "business_id", "stars").join(users, "user_id")
+    last = W.partitionBy("business_id").orderBy(F.col("rated").desc(), F.col("user_id").desc())
+    return rows.withColumn("place", F.row_number().over(last)).where(F.col("place") < MIN_SUPPORT).select("user_id", "business_id", "stars")
+
+
+def tails_pay(ratings: DataFrame, tails: DataFrame) -> bool:
+    """Whether pairing without the tails, and looking the tails of proposed pairs up, makes fewer rows than pairing all.
+
+    A proposed pair costs four look-ups; there are no more of them than rows paired without the tails.
+    """
+    def pairs(n: Column) -> Column:
+        return F.coalesce(F.sum(n * (n - 1) / 2), F.lit(0.0))
+
+    left_out = key_counts(tails, "user_id").withColumnRenamed("n", "t")
+    counts = key_counts(ratings, "user_id").join(left_out, "user_id", "left").withColumn("t", F.coalesce("t", F.lit(0)))
+    made = counts.agg(pairs(F.col("n")).alias("all"), pairs(F.col("n") - F.col("t")).alias("without")).first()
+    return made["without"] * (2 * MIN_SUPPORT - 1) < made["all"]
+
+
+def _moments(pairs: DataFrame) -> DataFrame:
+    x, y = F.col("a") - F.lit(MIDDLE), F.col("b") - F.lit(MIDDLE)
+    return pairs.groupBy("item_a", "item_b").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(x).alias("sa"),
+        F.sum(y).alias("sb"),
+        F.sum(x * x).alias("saa"),
+        F.sum(y * y).alias("sbb"),
+        F.sum(x * y).alias("sab"),
+        (F.min("a") < F.max("a")).alias("a_varies"),
+        (F.min("b") < F.max("b")).alias("b_varies"),
+    )
+
+
+def proposed_pairs(ratings: DataFrame, tails: DataFrame, work: Workspace, heavy: DataFrame | None = None) -> DataFrame:
+    """``item_pairs`` of the pairs of items that may have ``MIN_SUPPORT`` common raters.
+
+    The raters outside the tails propose pairs.  Of a proposed pair, the raters in the tail of one item are looked up among the
+    raters of the other; so a user who rated everything is in most tails and proposes next to nothing.
+    """
+    keys = ["user_id", "business_id"]
+    rows = ratings.select(*keys, "stars")
+    proposing = work.table(rows.join(tails, keys, "left_anti"), "proposing")
+    found = work.table(item_pairs(proposing, heavy), "proposed")
+    pairs = work.table(found.select("item_a", "item_b").distinct(), "pairs")
+    of_a = tails.select("user_id", F.col("business_id").alias("item_a"), F.col("stars").alias("a"))
+    of_b = tails.select("user_id", F.col("business_id").alias("item_b"), F.col("stars").alias("b"))
+    from_a = pairs.join(of_a, "item_a").join(rows.select("user_id", F.col("business_id").alias("item_b"), F.col("stars").alias("b")), ["user_id", "item_b"])
+    from_b = pairs.join(of_b, "item_b").join(
+        proposing.select("user_id", F.col("business_id").alias("item_a"), F.col("stars").alias("a")), ["user_id", "item_a"]
+    )
+    return found.unionByName(from_a.select(found.columns)).unionByName(from_b.select(found.columns))
+
+
 def item_similarities(
-    ratings: DataFrame, shrink: float = 5.0, at_least: float = 0.0, heavy: DataFrame | None = None
+    ratings: DataFrame, shrink: float = 5.0, at_least: float = 0.0, heavy: DataFrame | None = None, pairs: DataFrame | None = None
 ) -> DataFrame:
     """``item_a, item_b, sim, n``: Pearson correlation over common raters times n / (n + shrink).
 
     Moments are summed on the map side first, so the rows of a very popular pair never meet in one
-    task.  Pairs with too few raters, or with an item that all of them rated alike, are left out.
+    task.  Pairs with too few raters, or with an item that all of them rated alike, are left out.  ``pairs`` are those of
+    ``item_pairs`` unless given.
     """
     n = F.col("n").cast("double")
-    x, y = F.col("a") - F.lit(MIDDLE), F.col("b") - F.lit(MIDDLE)
     numerator = n * F.col("sab") - F.col("sa") * F.col("sb")
     spread_a = n * F.col("saa") - F.col("sa") * F.col("sa")
     spread_b = n * F.col("sbb") - F.col("sb") * F.col("sb")
     moments = (
-        item_pairs(ratings, heavy)
-        .groupBy("item_a", "item_b")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(x).alias("sa"),
-            F.sum(y).alias("sb"),
-            F.sum(x * x).alias("saa"),
-            F.sum(y * y).alias("sbb"),
-            F.sum(x * y).alias("sab"),
-            (F.min("a") < F.max("a")).alias("a_varies"),
-            (F.min("b") < F.max("b")).alias("b_varies"),
-        )
+        _moments(item_pairs(ratings, heavy) if pairs is None else pairs)
         .where(F.col("n") >= MIN_SUPPORT)
         .where(F.col("a_varies") & F.col("b_varies"))
     )
@@ -117,6 +168,20 @@ def item_similarities(
     )
 
 
+def similarities_of(
+    ratings: DataFrame, work: Workspace, shrink: float = 5.0, at_least: float = 0.0, block: int | None = None
+) -> DataFrame:
+    """``item_similarities`` by the way that makes fewer rows: by proposals where users with very many items are most of the pairs."""
+    heavy = heavy_users(ratings, block)
+    if heavy is not None:
+        tails = work.table(item_tails(ratings), "tails")
+        if tails_pay(ratings, tails):
+            light = ratings.join(tails, ["user_id", "business_id"], "left_anti")
+            pairs = proposed_pairs(ratings, tails, work, heavy_users(light, block))
+            return item_similarities(ratings, shrink, at_least, pairs=pairs)
+    return item_similarities(ratings, shrink, at_least, heavy)
+
+
 def history_residuals(
     history: DataFrame,
     user_bias: DataFrame,

@@ -166,3 +166,19 @@ def line_numbers(spark, sf):
     )
     numbered = sources.line_numbers(work.table(sources.read_ratings(spark, path), "lines"))
     return numbered.select("user_id", "business_id", "row_id")
+
+
+@query("""
+SELECT 'present' AS path, CAST(count(*) AS BIGINT) AS n FROM customer UNION ALL SELECT 'absent', NULL""")
+def optional_source(spark, sf):
+    """The rows of a source that is there, and none at all of one that is not."""
+    rows = load(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("business_id"), F.lit("1").alias("likes"))
+    there = _write_json(rows, spark, "tips-json")
+    found = [("present", there), ("absent", space(spark).path("no-tips-json"))]
+    counts = [(name, sources.optional_source(sources.read_tips, spark, path)) for name, path in found]
+    parts = [
+        spark.range(1).select(F.lit(name).alias("path"), F.lit(None).cast("long").alias("n")) if df is None
+        else df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("path"), "n")
+        for name, df in counts
+    ]
+    return parts[0].unionByName(parts[1])

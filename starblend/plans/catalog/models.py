@@ -176,6 +176,18 @@ def item_similarities_sparse(spark, sf):
     return rounded(_similar(train, AGGRESSIVE.shrink), "sim")
 
 
+@query(f"""{SPARSE}, hot AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN user_id % 2 - 2 ELSE user_id END AS user_id, business_id, max(stars) AS stars
+  FROM train GROUP BY 1, 2), {_sims_sql(5).replace("FROM train x JOIN train y", "FROM hot x JOIN hot y")} {_SIM_ROWS}""")
+def item_similarities_hot_users(spark, sf):
+    """Two users hold a third of all ratings, one of each item: they propose no pairs."""
+    user = F.when(F.col("user_id") % 3 == 0, F.col("user_id") % 2 - 2).otherwise(F.col("user_id"))
+    train = tables.train_rows(tables.rating_rows(spark, sf, "l_partkey"))
+    work = space(spark)
+    rows = work.table(train.groupBy(user.alias("user_id"), "business_id").agg(F.max("stars").alias("stars")), "hot-users")
+    return rounded(neighbours.similarities_of(rows, work, STABLE.shrink, block=200), "sim")
+
+
 @query(f"""{DENSE.replace("train AS (SELECT * FROM ratings", "train AS (SELECT * REPLACE "
   "(CASE WHEN business_id % 7 = 0 THEN 3.1 ELSE round(1 + l_discount * 40, 1) END AS stars) FROM ratings")
   .replace("l_linenumber\n", "l_linenumber, l_discount\n", 1)},

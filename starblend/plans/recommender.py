@@ -269,10 +269,8 @@ class HybridRecommender:
             if preset.items_per_user is not None:
                 rows = neighbours.cap_user_items(rows, preset.items_per_user, "stars")
             rows = rows.where(F.col("item_rows") >= neighbours.MIN_SUPPORT)
-            heavy = neighbours.heavy_users(rows)
             return work.table(
-                neighbours.item_similarities(rows, preset.shrink, preset.threshold, heavy),
-                "similarities",
+                neighbours.similarities_of(rows, work, preset.shrink, preset.threshold), "similarities"
             )
 
         def feature_trees():

@@ -225,3 +225,32 @@ def test_equal_weights_are_taken_in_item_order(spark, work):
     )
     row = neighbours.cf_adjustments(targets, residuals, sims, work, 0.05, 2, 1.0, 9.0).first()
     assert row["num"] == pytest.approx(0.5 * 1.0 - 0.5 * 0.0) and row["support"] == 2
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_proposals_find_every_similar_pair(spark, work, seed):
+    """Users who rated nearly everything, some items twice: with and without proposals the similarities are the same."""
+    rng = np.random.default_rng(seed)
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(60) for i in rng.choice(40, rng.integers(1, 6), replace=False)]
+    rows += [(u, i, float(rng.integers(1, 6))) for u in (100, 101, 102) for i in range(40) if rng.random() < 0.9]
+    rows += [(u, 7, s) for u in (5, 102) for s in (2.0, 4.0)]
+    ratings = work.table(spark.createDataFrame([(int(u), int(i), s) for u, i, s in rows], "user_id long, business_id long, stars double"), "r")
+    tails = work.table(neighbours.item_tails(ratings), "tails")
+    assert tails.groupBy("business_id").count().where("count > 2").isEmpty()
+    assert tails.where("user_id IN (5, 102) AND business_id = 7").isEmpty()
+
+    def found(df):
+        return {(r.item_a, r.item_b): (r.n, round(r.sim, 9)) for r in df.collect()}
+
+    pairs = neighbours.proposed_pairs(ratings, tails, work)
+    assert found(neighbours.item_similarities(ratings)) == found(neighbours.item_similarities(ratings, pairs=pairs))
+    assert neighbours.tails_pay(ratings, tails) in (True, False)
+
+
+def test_hot_users_propose_little(spark, work):
+    rows = [(u, i, float(1 + (u + i) % 5)) for u in (100, 101) for i in range(400)] + [(i % 50, i, 3.0) for i in range(400)]
+    ratings = work.table(spark.createDataFrame(rows, "user_id long, business_id long, stars double"), "r")
+    tails = work.table(neighbours.item_tails(ratings), "tails")
+    assert neighbours.tails_pay(ratings, tails)
+    assert neighbours.item_pairs(ratings).count() > 150_000
+    assert neighbours.proposed_pairs(ratings, tails, work).count() < 10_000

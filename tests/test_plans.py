@@ -70,19 +70,14 @@ def test_registered_profile_reads_the_ratings_twice(spark):
     assert sum("lineitem.parquet" in line for line in text.splitlines() if "FileScan" in line) <= 3
 
 
-def test_implicit_vectors_are_compiled_at_the_preset_rank(spark, work):
+def test_implicit_vectors_take_one_join_and_one_shuffle_of_sums(spark, work, no_broadcast):
     rank = AGGRESSIVE.rank
-    history = spark.range(500).selectExpr("id % 20 AS user_id", "id % 31 AS business_id")
+    history = work.table(spark.range(500).selectExpr("id % 20 AS user_id", "id % 31 AS business_id"), "history")
     factors = spark.range(31).select(F.col("id").alias("business_id"), F.array(*[F.rand(d) for d in range(rank)]).alias("q"))
-    factors = work.table(factors, "factors")
-    found = latent.implicit_user_vectors(history, factors, rank)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        text = plan(latent.implicit_user_vectors(history, factors, rank))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    aggregates = [line for line in text.splitlines() if "HashAggregate" in line]
-    assert aggregates and all("*(" in line for line in aggregates)  # a star marks compiled stages
+    found = latent.implicit_user_vectors(history, work.table(factors, "factors"), rank)
+    text = plan(found)
+    assert count(text, "SortMergeJoin") == 1 and count(text, "Exchange") == 3  # both sides of the join, then the sums
+    assert sum("partial_" in line for line in text.splitlines() if "Aggregate" in line) == 1 and "Python" not in text
     assert len(found.first()["y"]) == rank
 
 
