@@ -354,6 +354,12 @@ def representatives(docs: DataFrame, work: Workspace) -> DataFrame:
     if the class has no smaller id, and of the id's rows in one class the one with the least text stays.  Empty texts
     are in no class: each different one stays.
     """
+    columns = docs.columns
+    docs = docs.toDF(*(c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(columns)))  # no name clashes with those below
+    return _one_of_each(docs, work).toDF(*columns)
+
+
+def _one_of_each(docs: DataFrame, work: Workspace) -> DataFrame:
     classes = work.table(_row_classes(docs, work), "classes-of-rows")
     again = work.table(classes.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
     dropped = classes.where("component_id <> doc_id").select("doc_id").distinct()

@@ -18,6 +18,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import xxhash
 import zstandard as zs
 from pyspark.sql import DataFrame
 
@@ -31,6 +32,10 @@ WINDOW = 48
 SHARED_BYTES = 16 << 10
 COMMON_BYTES = 16 << 10
 OWN_BYTES = 4 << 10
+#: Windows of ordinary text, drawn over all sampled texts, that the shared part is trained on.
+TRAIN_WINDOWS = 60_000
+#: Toxic texts that a word start must stand in to be taken for more than chance.
+LEAST_TEXTS = 5
 THRESHOLDS = (2, 4, 6, 8, 10, 12)
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
@@ -70,26 +75,30 @@ def _stems(texts: list[bytes], longest: int = 14) -> Counter:
 
 
 def own_segments(toxic: list[bytes], ordinary: list[bytes], times: float = 40.0) -> list[bytes]:
-    """Word starts that toxic texts share and ordinary texts hardly have, each as long as most of its texts agree."""
+    """Word starts that toxic texts share and ordinary texts hardly have, each as long as most of its texts agree.
+
+    Those of the most toxic texts come first, and are taken until ``OWN_BYTES`` are full.
+    """
     here, there = _stems(toxic), _stems(ordinary)
-    least = max(5, len(toxic) / 50)
     share = len(toxic) / max(1, len(ordinary))
-    kept = {s for s, n in here.items() if n >= least and times * share * there[s] <= n}
+    kept = {s for s, n in here.items() if n >= LEAST_TEXTS and times * share * there[s] <= n}
     longer = defaultdict(list)
     for s in kept:
         longer[s[:-1]].append(s)
-    out = []
+    out, room = [], OWN_BYTES
     for s in sorted((s for s in kept if s[:-1] not in kept), key=lambda s: (-here[s], s)):
         while following := [x for x in sorted(longer[s]) if here[x] >= 0.6 * here[s]]:
             s = max(following, key=lambda x: here[x])
-        out.append(s)
+        if len(s) <= room:
+            out.append(s)
+            room -= len(s)
     return out
 
 
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """Contents of the toxic and of the ordinary dictionary."""
     toxic, ordinary = one_of_each(toxic), one_of_each(ordinary)
-    samples = [w for t in ordinary for w in windows(t, 256)][:60_000]
+    samples = sorted((w for t in ordinary for w in windows(t, 256)), key=xxhash.xxh64_intdigest)[:TRAIN_WINDOWS]
     try:
         shared = zs.train_dictionary(SHARED_BYTES, samples).as_bytes()
     except zs.ZstdError:  # too little text to train on
@@ -101,7 +110,7 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
             break
         common.append(s)
         room -= len(s)
-    own = b"".join(reversed(own_segments(toxic, ordinary)))[-OWN_BYTES:]
+    own = b"".join(reversed(own_segments(toxic, ordinary)))
     rare = sorted(s for s, n in stems.items() if n == 1 and len(s) > 6)
     other = b"".join(rare[:: max(1, len(rare) // max(1, len(own) // 6))])
     base = shared + b"".join(reversed(common))

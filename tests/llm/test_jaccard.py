@@ -151,3 +151,11 @@ def test_long_text_is_cut_at_white_space(monkeypatch):
     monkeypatch.setattr(common, "STEP_BYTES", 1000)
     monkeypatch.setattr(shingles, "STEP_BYTES", 1000)
     assert np.array_equal(whole, next(shingle_sets([text])))
+
+
+def test_representatives_keep_columns_of_any_name(spark, work):
+    schema = "doc_id long, text string, _n int, _fp1 string, _root long, _row int, _alone int, component_id long, count int, n long"
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, "x", 2, 3, 4, 5, 6, 7), (1, "g h i j k l", 1, "y", 2, 3, 4, 5, 6, 7), (2, "a b c d e f", 9, "z", 2, 3, 4, 5, 6, 7)], schema)
+    out = jaccard.representatives(docs, work)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r._fp1) for r in out.collect()) == [(1, "a b c d e f", "x"), (1, "g h i j k l", "y")]
