@@ -11,6 +11,12 @@
    meets part by part.  Nothing is dropped, and connected copies are never paired.
 4. Star contraction gives the components.
 
+Where links are counted or listed (``linked_classes``, ``similarity_links``), all sets of a team meet.  A large team
+is split by length, as sets of lengths more than a factor 1.25 apart never link, and by hash within a length
+class.  A set goes only to the lengths that it can link with: its first shared token stands at some place in its
+order, so at most the tokens from there on are common.  Two sets may meet in several teams; the link counts in the
+team of their first common token.
+
 A hash is a 64-bit value of the words' bytes (the ordered sets keep 56 bits and a frequency class); different
 shingles are taken as equal with a chance of about 1e-17 a pair.
 
@@ -21,24 +27,27 @@ that occurs with several texts connects nothing by itself.  Other columns are no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starblend.llm.common import steps, strings
 from starblend.llm.components import components
-from starblend.llm.prefix_tree import links
+from starblend.llm.prefix_tree import LevelTree, links, ragged
 from starblend.llm.shingles import shingle_sets
 from starblend.workspace import Workspace
 
 CHUNK_BYTES = 8 << 20
 TEAM_SETS = 512
 TEAM_TOKENS = 2_000_000
+BLOCK_SETS = 2048
+LENGTH_CLASS = 1.26  # more than 1.25, so that linked sets are at most one class apart
 SHARED = 0xFFFF  # in place of a document's number: several documents of the chunk hold the hash
 ENTRY = np.dtype([("rest", "<u4"), ("doc", "<u2")])
 INFO = np.dtype([("doc", "<i8"), ("known", "u1"), ("n", "<u8"), ("lone", "<u8"), ("fp1", "<i8"), ("fp2", "<i8")])
@@ -237,13 +246,47 @@ def _solve(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _team_links(teams: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
-    """Links found in ``teams`` (``team, part, rid, n``); a task takes many small teams or one large one."""
+def _by_task(teams: DataFrame, sets: DataFrame) -> DataFrame:
+    """``teams`` (``team, part, large, rid, n``) with the sets, and a ``task``: many small teams, or one part of a large one."""
     tokens = teams.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, int(tokens) // TEAM_TOKENS + 1) * 4
-    full = teams.drop("n").join(sets.select("rid", "n", "tokens"), "rid")
-    dealt = full.withColumn("task", F.pmod(F.xxhash64("team", "part"), F.lit(tasks)).cast("int"))
-    return work.table(dealt.groupBy("task").applyInPandas(_solve, "a long, b long"), "found")
+    task = F.when(F.col("large"), F.xxhash64("team", "part")).otherwise(F.pmod(F.xxhash64("team"), F.lit(tasks)))
+    return teams.withColumn("task", task).drop("n", "large").join(sets, "rid").groupBy("task")
+
+
+def _team_links(teams: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
+    """Links found in ``teams`` (``team, part, large, rid, n``)."""
+    return work.table(_by_task(teams, sets.select("rid", "n", "tokens")).applyInPandas(_solve, "a long, b long"), "found")
+
+
+def _length_class(n: Column) -> Column:
+    return F.floor(F.log(n) / math.log(LENGTH_CLASS)).cast("int")
+
+
+def _meetings(rows: DataFrame, work: Workspace) -> DataFrame:
+    """``team, part, side, rid, n``: where the rows of large teams meet.
+
+    ``rows`` are ``team, rid, n, main, least, most``: a row meets rows of lengths from ``least`` to ``most``, but rows
+    marked ``main`` do not meet each other.  A part is a pair of blocks, or one block with itself; ``side`` is 0 or 1
+    in a pair and 2 in a block with itself.
+    """
+    rows = work.table(rows.withColumn("length", _length_class(F.col("n"))), "large")
+    units = rows.groupBy("team", "main", "length").agg(F.count("*").alias("c"), F.sum("n").alias("t"))
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("t") / TEAM_TOKENS)).cast("long")
+    units = work.table(units.select("team", "main", "length", blocks.alias("blocks")), "units")
+    unit = F.when(F.col("main"), 128).otherwise(0) + F.col("length")
+    placed = rows.join(units, ["team", "main", "length"]).select(
+        "team", "rid", "n", "main", _length_class(F.col("least")).alias("lo"), _length_class(F.col("most")).alias("hi"),
+        F.struct(unit.alias("u"), F.pmod(F.xxhash64("rid"), F.col("blocks")).alias("b")).alias("own"),
+    )
+    lengths = placed.where("lo <= hi").withColumn("length", F.explode(F.sequence("lo", "hi"))).withColumnRenamed("main", "is_main")
+    partners = lengths.join(units, ["team", "length"]).where("NOT (is_main AND main)")
+    partners = partners.select("team", "rid", "n", "own", unit.alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("b"))
+    other = F.struct("u", "b")
+    first = F.col("own") < other
+    side = F.when(F.col("own") == other, 2).when(first, 0).otherwise(1)
+    part = F.when(first, F.xxhash64("own.u", "own.b", "u", "b")).otherwise(F.xxhash64("u", "b", "own.u", "own.b"))
+    return work.table(partners.select("team", part.alias("part"), side.alias("side"), "rid", "n"), "meetings")
 
 
 def _links(sets: DataFrame, work: Workspace) -> DataFrame:
@@ -261,8 +304,9 @@ def _links(sets: DataFrame, work: Workspace) -> DataFrame:
     sizes = work.table(sizes.select("team", parts.alias("parts")), "teams")
     dealt = members.join(sizes, "team").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     heads = sizes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    heads = heads.join(sets.select(F.col("rid").alias("team"), "n"), "team").select("team", "part", F.col("team").alias("rid"), "n")
-    found = _team_links(dealt.select("team", "part", "rid", "n").unionByName(heads), sets, work)
+    heads = heads.join(sets.select(F.col("rid").alias("team"), "n"), "team").select("team", "part", (F.col("parts") > 1).alias("large"), F.col("team").alias("rid"), "n")
+    split = (F.col("parts") > 1).alias("large")
+    found = _team_links(dealt.select("team", "part", split, "rid", "n").unionByName(heads), sets, work)
     large = members.join(sizes.where("parts > 1"), "team")
     if large.isEmpty():
         return found
@@ -281,43 +325,141 @@ def _across(large: DataFrame, found: DataFrame, sets: DataFrame, work: Workspace
     marked = work.table(marked, "marked")
     counts = marked.groupBy("team", "root").agg(F.count("*").alias("c"))
     main = counts.groupBy("team").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
-    main = main.where("`all` > most").select(
-        "team", "main", F.ceil(F.col("most") / TEAM_SETS).cast("int").alias("mains"),
-        F.ceil((F.col("all") - F.col("most")) / TEAM_SETS).cast("int").alias("others"),
+    apart = marked.join(main.where("`all` > most").select("team", "main"), "team").select(
+        "team", "rid", "n", (F.col("root") == F.col("main")).alias("main"),
+        F.ceil(F.col("n") * 0.8).alias("least"), F.floor(F.col("n") * 1.25).alias("most"),
     )
-    apart = marked.join(main, "team")
-    is_main = F.col("root") == F.col("main")
-    own = F.pmod(F.xxhash64("rid"), F.when(is_main, F.col("mains")).otherwise(F.col("others"))).cast("int")
-    apart = apart.withColumn("own", own)
-    # a part is named by a pair of blocks: main block i and other block j, or other blocks i <= j
-    def pair(k: int, i, j):
-        return F.struct(F.lit(k).alias("k"), i.cast("int").alias("i"), j.cast("int").alias("j"))
-
-    to_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda j: pair(0, F.col("own"), j))
-    to_mains = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda i: pair(0, i, F.col("own")))
-    among = F.transform(
-        F.sequence(F.lit(0), F.col("others") - 1), lambda j: pair(1, F.least(j, F.col("own")), F.greatest(j, F.col("own")))
-    )
-    places = F.when(is_main, to_others).otherwise(F.concat(to_mains, among))
-    teams = apart.withColumn("p", F.explode(places)).select("team", F.xxhash64("p.k", "p.i", "p.j").alias("part"), "rid", "n")
-    return _team_links(work.table(teams, "across"), sets, work)
+    teams = _meetings(apart, work).withColumn("large", F.lit(True))
+    return _team_links(teams.select("team", "part", "large", "rid", "n"), sets, work)
 
 
-def _row_classes(docs: DataFrame, work: Workspace) -> DataFrame:
-    """``doc_id, n_shingles, component_id, fp1, fp2, root`` of every row of ``docs``; ``root`` is null for a class of one row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _all_teams(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Teams in which all sets meet (``team, part, large, side, rid, n``), and the sets with the teams of their first tokens."""
+    head = F.expr("cast(floor(n / 5) as int) + 1 - cast(own as int)")
+    prefix = work.table(sets.select("rid", "n", "own", F.posexplode(F.slice("tokens", F.lit(1), head)).alias("pos", "token")), "prefix")
+    least = prefix.groupBy("token").agg(F.min("rid").alias("team"), F.count("*").alias("c")).where("c > 1").select("token", "team")
+    routes = work.table(prefix.join(least, "token").select("rid", "n", "own", "pos", "team"), "routes")
+    members = work.table(routes.groupBy("team", "rid", "n").agg(F.min(F.col("own") + F.col("pos")).alias("before")), "members")
+    sizes = members.groupBy("team").agg(F.count("*").alias("c"), F.sum("n").alias("t"))
+    large = work.table(sizes.select("team", ((F.col("c") > BLOCK_SETS) | (F.col("t") > TEAM_TOKENS)).alias("large")), "teams")
+    members = members.join(large, "team")
+    # 180 common >= 80 (n + other) and common <= n - before
+    most = F.least(F.floor(F.col("n") * 1.25), F.floor((5 * F.col("n") - 9 * F.col("before")) / 4))
+    rows = members.where("large").select("team", "rid", "n", F.lit(False).alias("main"), F.ceil(F.col("n") * 0.8).alias("least"), most.alias("most"))
+    small = members.where("NOT large").select("team", F.lit(0).cast("long").alias("part"), F.lit(2).alias("side"), "rid", "n")
+    teams = small.withColumn("large", F.lit(False)).unionByName(_meetings(rows, work).withColumn("large", F.lit(True)))
+    first = F.sort_array(F.collect_set(F.struct("pos", "team")))
+    of = routes.groupBy("rid").agg(first.alias("first")).select("rid", F.col("first.pos").alias("places"), F.col("first.team").alias("leasts"))
+    return teams, work.table(sets.join(of, "rid").dropDuplicates(["rid"]), "routed")  # a repeated row brings its set again
+
+
+class _Team:
+    """The sets that meet in one part of a team."""
+
+    def __init__(self, team: int, frame: pd.DataFrame):
+        self.team, self.rid = team, frame["rid"].to_numpy(np.int64)
+        self.side, self.n = frame["side"].to_numpy(), frame["n"].to_numpy(np.int64)
+        tokens = [np.asarray(t, np.int64).view(np.uint64) for t in frame["tokens"]]
+        distinct, number = np.unique(np.concatenate(tokens), return_inverse=True)
+        ends = np.cumsum([len(t) for t in tokens])
+        self.tokens = np.split(number, ends[:-1])
+        self.heads = np.array([len(x) for x in frame["places"]])
+        self.head_at = np.cumsum(self.heads) - self.heads
+        self.head = np.concatenate([t[np.asarray(p)] for t, p in zip(self.tokens, frame["places"], strict=True)])
+        self.least = np.concatenate([np.asarray(x, np.int64) for x in frame["leasts"]])
+        self.flags = np.zeros(len(distinct), np.int64)
+
+    def links(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each set that asks and those it links with here, by their places; within one block both ask."""
+        asked = np.flatnonzero(self.side > 0)
+        tree = LevelTree([(i, self.tokens[i][::-1], int(self.n[i])) for i in asked]) if len(asked) else None
+        for i in np.flatnonzero(self.side != 1) if tree else ():
+            self.flags[self.tokens[i]] = 1
+            found = tree.probe(self.tokens[i], self.flags, int(self.n[i]))
+            found = found[found != i]
+            if len(found):
+                found = found[self._first_here(found)]
+            self.flags[self.tokens[i]] = 0
+            if len(found):
+                yield i, found
+
+    def _first_here(self, found: np.ndarray) -> np.ndarray:
+        """Whether the first token in common with the marked set belongs to this team."""
+        at = ragged(self.head_at[found], self.heads[found])
+        marked = np.flatnonzero(self.flags[self.head[at]])
+        ends = np.cumsum(self.heads[found])
+        return self.least[at[marked[np.searchsorted(marked, ends - self.heads[found])]]] == self.team
+
+
+def _parts(frame: pd.DataFrame) -> Iterator[_Team]:
+    for (team, _), part in frame.groupby(["team", "part"], sort=False):
+        yield _Team(team, part)
+
+
+def _count(frame: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest (``a, b``) of the links of each part, and how many rows each set links with (``a, rows``)."""
+    weight = frame.set_index("rid")["weight"].to_dict()
+    out = []
+    for team in _parts(frame):
+        weights = np.array([weight[r] for r in team.rid], np.int64)
+        rows, label = np.zeros(len(weights), np.int64), np.arange(len(weights))
+        for i, found in team.links():
+            rows[i] += weights[found].sum()
+            if team.side[i] == 0:
+                rows[found] += weights[i]
+            others, where = np.unique(label[found], return_index=True)
+            apart = others != label[i]
+            if apart.any():
+                out += [(team.rid[i], team.rid[found[w]], 0) for w in where[apart]]
+                label[np.isin(label, others)] = label[i]
+        out += [(r, r, c) for r, c in zip(team.rid, rows, strict=True) if c]
+    return pd.DataFrame(out, columns=["a", "b", "rows"], dtype="int64")
+
+
+def _list(frame: pd.DataFrame) -> pd.DataFrame:
+    """Every link of each part once, the smaller set first."""
+    out = [np.empty((0, 2), np.int64)]
+    for team in _parts(frame):
+        for i, found in team.links():
+            pair = np.sort(np.c_[np.full(len(found), team.rid[i]), team.rid[found]], axis=1)
+            out.append(pair if team.side[i] == 0 else pair[pair[:, 0] == team.rid[i]])
+    return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+
+
+def _distinct_sets(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their set sizes, the different sets that may link (``rid``, ``weight`` rows), and their tokens."""
     settled = _settled(docs, work)
-    reps = settled.where("open").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc_id"))
+    reps = settled.where("open").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("weight"))
     reps = work.table(reps.withColumn("rid", F.monotonically_increasing_id()), "reps")
-    sets = _ordered_sets(docs, reps.select("doc_id", "rid", "fp1", "fp2"), work)
-    roots = components(_links(sets, work), work)
+    return settled, reps, _ordered_sets(docs, reps.select("doc_id", "rid", "fp1", "fp2"), work)
+
+
+def _row_classes(docs: DataFrame, work: Workspace, count: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links, fp1, fp2, root`` of every row of ``docs``.
+
+    ``root`` is null for a class of one row, ``n_links`` wherever links are not counted.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    settled, reps, sets = _distinct_sets(docs, work)
+    if count:
+        teams, routed = _all_teams(sets, work)
+        found = _by_task(teams, routed.join(reps.select("rid", "weight"), "rid").select("rid", "n", "tokens", "places", "leasts", "weight"))
+        found = work.table(found.applyInPandas(_count, "a long, b long, rows long"), "counted")
+        edges = found.where("a <> b").select("a", "b")
+        met = found.where("a = b").groupBy(F.col("a").alias("rid")).agg(F.sum("rows").alias("rows"))
+        reps = reps.join(met, "rid", "left").withColumn("links", F.coalesce("rows", F.lit(0)) + F.col("weight") - 1)
+    else:
+        edges = _links(sets, work)
+        reps = reps.withColumn("links", F.lit(None).cast("long"))
+    roots = components(edges, work)
     of = reps.join(roots, reps["rid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "rid"))
     least = of.groupBy("root").agg(F.min("doc_id").alias("least"))
-    classes = work.table(of.join(least, "root").select("fp1", "fp2", "n", "least", "root"), "classes")
+    classes = work.table(of.join(least, "root").select("fp1", "fp2", "n", "least", "links", "root"), "classes")
     classes = classes.withColumn("open", F.lit(True))
     return settled.join(classes, ["fp1", "fp2", "n", "open"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"), "fp1", "fp2", "root",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
+        (F.coalesce("links", F.lit(0)) if count else F.col("links")).alias("n_links"), "fp1", "fp2", "root",
     )
 
 
@@ -326,6 +468,30 @@ def similarity_classes(docs: DataFrame, work: Workspace) -> DataFrame:
     return _row_classes(docs, work).select("doc_id", "n_shingles", "component_id")
 
 
+def linked_classes(docs: DataFrame, work: Workspace) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs`` (``doc_id, text``).
+
+    ``n_links`` is the number of other rows that the row links with, rows of equal sets included; 0 with a null id.
+    """
+    return _row_classes(docs, work, count=True).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def similarity_links(docs: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Every link, as pairs of different sets and the rows that have each set.
+
+    The first table is ``doc_id, n_shingles, set_id`` of every row; rows with one ``set_id`` link with each other, rows
+    without one link with nothing.  The second is ``a, b``: sets that link, each pair once, ``a < b``.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    settled, reps, sets = _distinct_sets(docs, work)
+    teams, routed = _all_teams(sets, work)
+    routed = routed.select("rid", "n", "tokens", "places", "leasts")
+    found = work.table(_by_task(teams, routed).applyInPandas(_list, "a long, b long"), "pairs")
+    of = reps.select("fp1", "fp2", "n", F.lit(True).alias("open"), F.col("rid").alias("set_id"))
+    rows = settled.join(of, ["fp1", "fp2", "n", "open"], "left").select("doc_id", F.col("n").alias("n_shingles"), "set_id")
+    return rows, found
+
+
 def _with_sets(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_n, _fp1, _fp2`` of each row's set."""
     columns = docs.columns

@@ -2,8 +2,9 @@
 
 Sets are arrays in one global order, common tokens first, so that near copies share long paths.  A probe
 walks the tree once: the overlap with a shared path is counted once for all sets below it, and a subtree is
-left as soon as the tokens that remain cannot lift any of its sets over the bound.  Sets that are already
-connected with the probe are passed over, so a group of copies costs one link for each set.
+left as soon as the tokens that remain cannot lift any of its sets over the bound.  ``links`` passes over sets
+that are already connected with the probe, so a group of copies costs one link for each set.  ``LevelTree`` finds
+every link: it holds the finished tree as arrays and walks all subtrees of a level at once.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ class PrefixTree:
         self._insert(key, tokens, size)
         return links
 
+    def insert(self, key: int, tokens: np.ndarray, size: int) -> None:
+        self.parent[key] = key
+        self._insert(key, tokens, size)
+
     def _probe(self, key: int, tokens: np.ndarray, size: int) -> list[tuple[int, int]]:
         rising = tokens[::-1]
         low, high = self.share * size / 100, 100 * size / self.share
@@ -103,3 +108,52 @@ def links(sets: list[tuple[int, np.ndarray, int]], share: int = 80) -> list[tupl
     for key, tokens, size in sorted(sets, key=lambda s: (s[2], s[0])):
         out += tree.add(key, tokens, size)
     return out
+
+
+def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers ``start, start + 1, ...`` of each range, one range after the other."""
+    return np.arange(length.sum()) + np.repeat(start - np.cumsum(length) + length, length)
+
+
+class LevelTree:
+    """A finished tree of sets of small token numbers (``key``, numbers descending, ``size``), level by level."""
+
+    def __init__(self, sets: list[tuple[int, np.ndarray, int]], share: int = 80):
+        tree = PrefixTree(share)
+        for key, tokens, size in sets:
+            tree.insert(key, tokens, size)
+        nodes, kids_at = [tree.root], []
+        for node in nodes:  # grows: the children of a node follow each other
+            kids_at.append(len(nodes))
+            nodes.extend(node.below.values())
+        self.share, self.kids_at = share, np.array(kids_at)
+        self.kids = np.array([len(x.below) for x in nodes])
+        self.length = np.array([len(x.path) for x in nodes])
+        self.start = np.cumsum(self.length) - self.length
+        self.path = np.concatenate([x.path for x in nodes]).astype(np.int64)
+        self.last = np.array([x.path[-1] if len(x.path) else 0 for x in nodes], np.int64)
+        self.least, self.most, self.rest = (np.array([getattr(x, f) for x in nodes], float) for f in ("least", "most", "rest"))
+        ends = [e for x in nodes for e in x.ends]
+        self.ends = np.array([len(x.ends) for x in nodes])
+        self.ends_at = np.cumsum(self.ends) - self.ends
+        self.key, self.size = (np.array([e[i] for e in ends], np.int64) for i in (0, 1))
+
+    def probe(self, tokens: np.ndarray, flags: np.ndarray, size: int) -> np.ndarray:
+        """Keys of all sets that link with the set of ``tokens`` (ascending), which ``flags`` marks."""
+        low, high = self.share * size / 100, 100 * size / self.share
+        found, node, over = [], np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(node):
+            length = self.length[node]
+            hits = np.r_[0, np.cumsum(flags[self.path[ragged(self.start[node], length)]])]
+            ends = np.cumsum(length)
+            over = over + hits[ends] - hits[ends - length]
+            left = np.where(length > 0, np.searchsorted(tokens, self.last[node]), len(tokens))
+            most = over + np.minimum(left, self.rest[node])
+            bound = self.share * (size + np.maximum(self.least[node], low))
+            open_ = (self.most[node] >= low) & (self.least[node] <= high) & ((100 + self.share) * most >= bound)
+            node, over = node[open_], over[open_]
+            at = ragged(self.ends_at[node], self.ends[node])
+            enough = (100 + self.share) * np.repeat(over, self.ends[node]) >= self.share * (size + self.size[at])
+            found.append(self.key[at[enough]])
+            node, over = ragged(self.kids_at[node], self.kids[node]), np.repeat(over, self.kids[node])
+        return np.concatenate(found)

@@ -98,14 +98,16 @@ links AS (
   WHERE 100 * c >= 80 * (na.n + nb.n - c)
 ),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+met AS (SELECT a, count(*) AS n_links FROM edges GROUP BY a),
 reach AS (
   SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
 )
 SELECT w.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles,
-       least(w.doc_id, coalesce(min(reach.b), w.doc_id)) AS component_id
-FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id""")
+       least(w.doc_id, coalesce(min(reach.b), w.doc_id)) AS component_id,
+       CAST(coalesce(any_value(met.n_links), 0) AS BIGINT) AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN met ON met.a = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id""")
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similarity_classes(table(spark, sf_dir, "documents"), workspace(spark))
+    return jaccard.linked_classes(table(spark, sf_dir, "documents"), workspace(spark))
 
 
 @query()

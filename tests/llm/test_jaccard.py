@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -159,3 +160,63 @@ def test_representatives_keep_columns_of_any_name(spark, work):
     out = jaccard.representatives(docs, work)
     assert out.columns == docs.columns
     assert sorted((r.doc_id, r.text, r._fp1) for r in out.collect()) == [(1, "a b c d e f", "x"), (1, "g h i j k l", "y")]
+
+
+def all_links(docs):
+    """Brute force: the pairs of rows with an id that link, by their places in ``docs``."""
+    sets = [brute.shingles(t) if d is not None else set() for d, t in docs]
+    return {(i, j) for i in range(len(sets)) for j in range(i) if sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+
+
+def near_copies(seed: int, copies: int, words: int):
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    for i in range(copies):  # pairs of them are below the bound as often as above, and of different lengths
+        copy = base[: rng.randint(words * 2 // 3, words)]
+        for _ in range(rng.randint(0, 2)):
+            copy[rng.randrange(len(copy))] = f"own{i % 9}"
+        yield " ".join(copy)
+
+
+@pytest.mark.parametrize("limit", [2048, 4])
+def test_every_link_is_found_and_counted(spark, work, monkeypatch, limit):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", limit)
+    docs = [*corpus(3, 6, 20), *enumerate(near_copies(4, 70, 60), 1000), (None, "one two three"), (1, "one two three")]
+    docs += [docs[0], docs[1], *docs[-8:-2]]  # repeated rows
+    want = all_links(docs)
+    counts = [sum(i in pair for pair in want) for i in range(len(docs))]
+    table = spark.createDataFrame([(d, t, "x", None) for d, t in docs], SCHEMA).repartition(3)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.n_links) for r in jaccard.linked_classes(table, work).collect())
+    assert got == sorted((d is None, d or 0, len(brute.shingles(t)), c) for (d, t), c in zip(docs, counts, strict=True))
+
+    rows, pairs = jaccard.similarity_links(table, work)
+    size = Counter(r.set_id for r in rows.collect() if r.set_id is not None)
+    pairs = [tuple(r) for r in pairs.collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    assert sum(size[a] * size[b] for a, b in pairs) + sum(c * (c - 1) // 2 for c in size.values()) == len(want)
+
+
+def test_links_of_empty_and_unlike_tables(spark, work):
+    for docs in ([], [(1, None), (2, "")], [(1, "a b c d e f"), (2, "g h i j k l")]):
+        table = spark.createDataFrame([(d, t, "x", None) for d, t in docs], SCHEMA)
+        assert [r.n_links for r in jaccard.linked_classes(table, work).collect()] == [0] * len(docs)
+        rows, pairs = jaccard.similarity_links(table, work)
+        assert rows.count() == len(docs) and pairs.count() == 0
+
+
+def test_a_hot_token_meets_only_lengths_that_can_link(spark, work, monkeypatch):
+    """One team of 400 sets of 10 to 1000 tokens: a set travels to few of its blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
+    rows = [(0, i, 10 + i * 990 // 399) for i in range(400)]
+    team = spark.createDataFrame(rows, "team long, rid long, n long")
+    team = team.selectExpr("team", "rid", "n", "false AS main", "ceil(n * 0.8) AS least", "floor(n * 1.25) AS most")
+    met = jaccard._meetings(team, work).collect()
+    sizes = {r: n for _, r, n in rows}
+    blocks = len({m.part for m in met if m.side == 2})
+    assert blocks >= 50 and len(met) < 400 * blocks / 2
+    parts = defaultdict(set)
+    for m in met:
+        parts[m.part].add(m.rid)
+    together = {frozenset((a, b)) for p in parts.values() for a in p for b in p if a < b}
+    can = {frozenset((a, b)) for a in sizes for b in sizes if a < b and 4 * max(sizes[a], sizes[b]) <= 5 * min(sizes[a], sizes[b])}
+    assert can <= together
