@@ -57,12 +57,28 @@ def test_large_components_are_exact(spark, work):
     assert voronoi.products(*big).tolist() == [[2**60 + 21, 2**60 + 2**40 + 21]]
 
 
-def test_pruning_keeps_far_cells_at_home(spark, work):
-    """Well separated clusters: a query's group needs only its own cluster."""
+def ready(spark, rows):
+    table = spark.createDataFrame(rows, SCHEMA)
+    return table.select("vec_id", voronoi.quantized(F.col("embedding")).alias("v"), (F.col("vec_id") % 100 == 0).alias("is_query"))
+
+
+def test_pruning_skips_vectors_and_blocks(spark, work):
+    """Well separated clusters: a query meets its own cluster, in few of the blocks."""
     rng = np.random.default_rng(1)
     rows = []
-    for c in range(4):
-        centre = np.zeros(4)
+    for c in range(8):
+        centre = np.zeros(8)
         centre[c] = 1
-        rows += [(c * 100 + i, [float(np.float32(x)) for x in centre + rng.normal(0, 0.001, 4)], 0, "") for i in range(100)]
-    assert found(spark, work, rows) == brute(rows)
+        rows += [(c * 100 + i, [float(np.float32(x)) for x in centre + rng.normal(0, 0.001, 8)], 0, "") for i in range(100)]
+    sizes = {"pivots": 32, "block_rows": 50}
+    assert found(spark, work, rows, **sizes) == brute(rows)
+    pairs, visits = voronoi.meetings(ready(spark, rows), 10, work, **sizes).shares()
+    assert pairs < 0.2 and visits < 0.3
+
+
+def test_nothing_is_spared_where_all_are_alike(spark, work):
+    """Copies of one vector tie, so every query needs them all; they still meet in blocks."""
+    rows = [(i, [0.5, 0.25], 0, "") for i in range(300)]
+    met = voronoi.meetings(ready(spark, rows), 10, work, block_rows=40)
+    assert met.blocks >= 8 and met.shares() == (1.0, 1.0)
+    assert found(spark, work, rows, block_rows=40) == brute(rows)
