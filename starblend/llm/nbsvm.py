@@ -93,18 +93,19 @@ def dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost:
     """Linear hinge-loss weights for rows of scaled indicators; the last weight is the constant."""
     w = np.zeros(len(scale) + 1)
     alpha, sign = np.zeros(len(rows)), np.where(y == 1, 1.0, -1.0)
-    values = [scale[r] / (np.linalg.norm(scale[r]) or 1.0) for r in rows]
-    square = np.array([v @ v + 1.0 for v in values])
+    norm = [np.linalg.norm(scale[r]) or 1.0 for r in rows]
+    square = np.array([(v := scale[r] / n) @ v + 1.0 for r, n in zip(rows, norm, strict=True)])
     rng = np.random.default_rng(7)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = sign[i] * (w[rows[i]] @ values[i] + w[-1]) - 1
+            value = scale[rows[i]] / norm[i]
+            gradient = sign[i] * (w[rows[i]] @ value + w[-1]) - 1
             new = min(max(alpha[i] - gradient / square[i], 0.0), cost[i])
             step = new - alpha[i]
             if step:
                 alpha[i] = new
-                w[rows[i]] += step * sign[i] * values[i]
+                w[rows[i]] += step * sign[i] * value
                 w[-1] += step * sign[i]
                 moved = max(moved, abs(step))
         if moved < 1e-4:
@@ -135,7 +136,7 @@ def fit(texts: dict[int, list[bytes]], counts: dict[int, int], pull: float = 0.2
     if not texts[0] or not texts[1]:
         return flat
     used = {c: int(np.ceil(FIT_SHARE * len(texts[c]))) for c in (0, 1)}
-    rows = {c: list(indicators(texts[c][: used[c]])) for c in (0, 1)}
+    rows = {c: [r.astype(np.int32) for r in indicators(texts[c][: used[c]])] for c in (0, 1)}
     logs = []
     for c in (0, 1):
         tally = smooth + np.bincount(np.concatenate(rows[c]), minlength=1 << BITS)

@@ -14,6 +14,7 @@ get equal scores; an empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter, defaultdict
 
@@ -74,13 +75,14 @@ def _stems(texts: list[bytes], longest: int = 14) -> Counter:
     return found
 
 
-def own_segments(toxic: list[bytes], ordinary: list[bytes], times: float = 40.0) -> list[bytes]:
+def own_segments(toxic: list[bytes], ordinary: int, there: Counter, times: float = 40.0) -> list[bytes]:
     """Word starts that toxic texts share and ordinary texts hardly have, each as long as most of its texts agree.
 
+    ``there`` has the word starts of as many ``ordinary`` texts.
     Those of the most toxic texts come first, and are taken until ``OWN_BYTES`` are full.
     """
-    here, there = _stems(toxic), _stems(ordinary)
-    share = len(toxic) / max(1, len(ordinary))
+    here = _stems(toxic)
+    share = len(toxic) / max(1, ordinary)
     kept = {s for s, n in here.items() if n >= LEAST_TEXTS and times * share * there[s] <= n}
     longer = defaultdict(list)
     for s in kept:
@@ -98,19 +100,21 @@ def own_segments(toxic: list[bytes], ordinary: list[bytes], times: float = 40.0)
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """Contents of the toxic and of the ordinary dictionary."""
     toxic, ordinary = one_of_each(toxic), one_of_each(ordinary)
-    samples = sorted((w for t in ordinary for w in windows(t, 256)), key=xxhash.xxh64_intdigest)[:TRAIN_WINDOWS]
+    samples = heapq.nsmallest(TRAIN_WINDOWS, (w for t in ordinary for w in windows(t, 256)), key=xxhash.xxh64_intdigest)
     try:
         shared = zs.train_dictionary(SHARED_BYTES, samples).as_bytes()
     except zs.ZstdError:  # too little text to train on
         shared = b"".join(samples)[:SHARED_BYTES]
+    del samples
     stems = _stems(ordinary)
     common, room = [], COMMON_BYTES
-    for s in sorted((s for s in stems if len(s) >= 6), key=lambda s: (-stems[s] * len(s), s)):
+    most = COMMON_BYTES // 6 + 1  # more of 6 bytes and longer do not fit
+    for s in heapq.nsmallest(most, (s for s in stems if len(s) >= 6), key=lambda s: (-stems[s] * len(s), s)):
         if room < len(s):
             break
         common.append(s)
         room -= len(s)
-    own = b"".join(reversed(own_segments(toxic, ordinary)))
+    own = b"".join(reversed(own_segments(toxic, len(ordinary), stems)))
     rare = sorted(s for s, n in stems.items() if n == 1 and len(s) > 6)
     other = b"".join(rare[:: max(1, len(rare) // max(1, len(own) // 6))])
     base = shared + b"".join(reversed(common))
