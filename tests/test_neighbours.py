@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -254,3 +256,34 @@ def test_hot_users_propose_little(spark, work):
     assert neighbours.tails_pay(ratings, tails)
     assert neighbours.item_pairs(ratings).count() > 150_000
     assert neighbours.proposed_pairs(ratings, tails, work).count() < 10_000
+
+
+def test_what_travels_to_an_item_is_one_row_for_each_rating(spark, monkeypatch):
+    """Sums by pair are made where an item's lists lie; pairs are not shuffled."""
+    monkeypatch.setattr(neighbours, "PAIRS_PER_TASK", 50)
+    ratings, _ = sample(spark, 2, 6, 30, 0.9)
+    plan = neighbours.item_similarities(ratings)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(item_a" in plan and not re.search(r"hashpartitioning\(item_a#\d+, item_b#\d+", plan)
+    lists = neighbours._item_lists(ratings, None)
+    assert lists.count() <= ratings.count() and lists.agg(F.sum(F.size("items"))).first()[0] == neighbours.item_pairs(ratings).count()
+
+
+@pytest.mark.parametrize("block", [None, 4])
+def test_busy_items_make_the_same_pairs_in_several_tasks(spark, monkeypatch, block):
+    ratings, table = sample(spark, 5, 40, 8, 0.6)
+    ratings = ratings.unionByName(ratings.limit(5)).unionByName(
+        spark.createDataFrame([(None, "b00", 1.0), ("u01", None, 2.0), ("u02", "b09", None), ("u03", "b09", None)], RATINGS)
+    )
+    heavy = neighbours.heavy_users(ratings, block)
+    plain, sims = neighbours.item_pairs(ratings), neighbours.item_similarities(ratings, 5.0)
+    monkeypatch.setattr(neighbours, "RATERS_PER_SPLIT", 24)
+    monkeypatch.setattr(neighbours, "PAIRS_PER_TASK", 50)
+    busy = neighbours.busy_items(ratings)
+    assert {r["splits"] for r in busy.collect()} == {2}
+    split = neighbours.item_pairs(ratings, heavy, busy)
+
+    def rows(frame):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else str(v) for v in r) for r in frame.collect())
+
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    assert rows(neighbours.item_similarities(ratings, 5.0, 0.0, heavy, busy=busy)) == rows(sims)
