@@ -111,7 +111,7 @@ shown array<string>, main array<boolean>, lines array<long>, weights array<int>"
 def _parse(pages: DataFrame, work: Workspace) -> DataFrame:
     """Each page's place and lines; ``shown`` has those of its article (``main``) and those that differencing decides about.
 
-    ``weights`` are the lengths of the latter, all 0 where the article is longer than all of them.
+    ``weights`` are the lengths of the latter, on every page.
     """
 
     def parse(batches):
@@ -122,9 +122,6 @@ def _parse(pages: DataFrame, work: Workspace) -> DataFrame:
                 main = article_lines(page)
                 shown = [b.text if m or _open(b) else "" for b, m in zip(page, main, strict=True)]
                 weights = [0 if m else len(t) for t, m in zip(shown, main, strict=True)]
-                if sum(weights) <= sum(len(t) for t, m in zip(shown, main, strict=True) if m):
-                    shown = [t if m else "" for t, m in zip(shown, main, strict=True)]
-                    weights = [0] * len(weights)
                 rows.append((*place(url), shown, main, [xxhash.xxh64_intdigest(f"{b.path}\n{b.text}") - 2**63 for b in page], weights))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.string()] * 2 + [pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32())]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from starblend.llm import page_diff
 from starblend.llm.html_blocks import blocks
@@ -121,3 +122,16 @@ def test_pages_table(spark, work):
     pages = brute.rows(brute.SMALL, "pages")
     assert {r.page_id: r.text for r in got} == {p[0]: article(p[2]) or "" for p in pages}
     assert all(r.n_chars == len(r.text) for r in got)
+
+
+def test_pages_with_an_article_are_differenced_too(spark, work):
+    """The open lines of a page with a long article go to the neighbours as any others, and the text stays the article."""
+    frame, said = "Shop of the week and its offers", "A long paragraph of the article itself, number {0} of all. " * 3
+    rows = [(n, f"http://a.b/{n}", f"<div>{frame}</div><div>Only page {n} says this</div><article><p>{said.format(n)}</p></article>") for n in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    keyed = pages.withColumn("id_key", F.col("page_id")).withColumn("key", F.col("page_id"))
+    parsed = page_diff._parse(keyed, work)
+    assert all(list(r["weights"]) == [len(frame), 21, 0] for r in parsed.collect())
+    gone = {r["id_key"]: r["gone"] for r in page_diff._deletions(parsed, work).collect()}
+    assert gone == {n: [0] for n in range(4)}
+    assert {r["page_id"]: r["text"] for r in page_diff.extract(pages, work).collect()} == {n: said.format(n).strip() for n in range(4)}
