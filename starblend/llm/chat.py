@@ -61,7 +61,6 @@ def appends(look_back: int = 0) -> Callable[[Template], Template]:
     return declare
 
 
-@appends()
 def bracket_template(turns: list[Turn]) -> str:
     """``[INST] user [/INST] assistant </s>``; any other role is named in ``[ROLE]`` marks."""
     out = []

@@ -139,3 +139,17 @@ def test_time_of_a_long_conversation_is_linear():
     for i in range(10_000):
         prefixes.add(("user" if i % 2 else "assistant", "x" * 50))
     assert prefixes.turns == 10_000 and seen[0] < 6 * 10_000 and len(prefixes.before) == 1
+
+
+def test_the_template_of_the_query_is_rendered_on_every_whole_prefix(monkeypatch):
+    seen = []
+
+    def counted(turns, template=chat.bracket_template):
+        seen.append(len(turns))
+        return template(turns)
+
+    monkeypatch.setattr(counted, "look_back", getattr(chat.bracket_template, "look_back", None), raising=False)
+    prefixes = chat._Prefixes(counted)
+    for t in range(100):
+        prefixes.add(("assistant" if t % 2 else "user", f"text {t}"))
+    assert set(range(101)) <= set(seen)
