@@ -7,6 +7,8 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from starblend.operators import (
@@ -389,16 +391,25 @@ def latent_predict(spark, sf):
 
 def _normal_gaps(residuals, users, items, reg):
     """``user_id, gap``: length of ``sum q (p.q - r) + reg n p`` over the length of ``sum q r``, to 2 places."""
-    rows = residuals.join(users, "u").join(items, "i").select(
-        "u", "p", F.expr("aggregate(zip_with(p, q, (a, b) -> double(a) * b), 0D, (s, x) -> s + x) - resid").alias("e"),
-        "resid", F.posexplode("q").alias("d", "x"),
+    def length(values):
+        return F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x))
+
+    def scaled(by):
+        return F.transform("q", lambda x: x * F.col(by))
+
+    # factors of items first: the join to the users leaves a user's rows in one task, where their vectors are summed
+    rows = residuals.join(items, "i").join(users, "u").select(
+        "u", "p", "resid", "q", F.expr("aggregate(zip_with(p, q, (a, b) -> double(a) * b), 0D, (s, x) -> s + x) - resid").alias("e")
     )
-    sums = rows.groupBy("u", "d").agg(
-        (F.sum(F.col("e") * F.col("x")) + F.lit(reg) * F.count(F.lit(1)) * F.first(F.get("p", "d"))).alias("left"),
-        F.sum(F.col("resid") * F.col("x")).alias("right"),
+    sums = rows.select("u", "p", array_to_vector(F.concat(scaled("e"), scaled("resid"))).alias("v")).groupBy("u").agg(
+        Summarizer.metrics("sum", "count").summary(F.col("v")).alias("s"), F.first("p").alias("p")
     )
-    ratio = F.sqrt(F.sum(F.col("left") * F.col("left")) / F.greatest(F.lit(1e-6), F.sum(F.col("right") * F.col("right"))))
-    return sums.groupBy(F.col("u").cast("bigint").alias("user_id")).agg((F.round(ratio, 2) + 0.0).alias("gap"))
+    halves = sums.select("u", "p", F.col("s.count").alias("n"), vector_to_array("s.sum").alias("v"))
+    size = F.size("p")
+    left = F.zip_with(F.slice("v", F.lit(1), size), "p", lambda s, x: s + F.lit(reg) * F.col("n") * x)
+    right = length(F.slice("v", size + 1, size))
+    ratio = length(left) / F.greatest(F.lit(1e-3), right)
+    return halves.select(F.col("u").cast("bigint").alias("user_id"), (F.round(ratio, 2) + 0.0).alias("gap"))
 
 
 _STUMP_INPUTS = ["floor(l_quantity / 5)", "l_discount", "l_tax"]

@@ -136,3 +136,25 @@ def test_first_rows(spark, monkeypatch):
     found = sorted(r["row_id"]["row_id"] for r in blend.first_rows(as_struct, 25).collect())
     assert found == list(range(25))
     assert blend.first_rows(rows, 5000).count() == 1000
+
+
+def test_factor_gaps_match_numpy(spark):
+    from starblend.plans.catalog.models import _normal_gaps
+
+    rng = np.random.default_rng(3)
+    p, q, reg = rng.normal(size=(6, 4)), rng.normal(size=(5, 4)), 0.2
+    rows = [(u, i, float(rng.normal())) for u in range(6) for i in range(5) if rng.random() < 0.7 or i == 0]
+    found = _normal_gaps(
+        spark.createDataFrame(rows, "u int, i int, resid double"),
+        spark.createDataFrame([(u, p[u].tolist()) for u in range(6)], "u int, p array<float>"),
+        spark.createDataFrame([(i, q[i].tolist()) for i in range(5)], "i int, q array<float>"), reg,
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan  # one row for each rating, not one for each rating and factor
+    gaps = {r["user_id"]: r["gap"] for r in found.collect()}
+    assert len(gaps) == 6
+    for u in range(6):
+        mine = [(i, r) for v, i, r in rows if v == u]
+        left = sum(q[i] * (p[u] @ q[i] - r) for i, r in mine) + reg * len(mine) * p[u]
+        right = sum(q[i] * r for i, r in mine)
+        assert gaps[u] == pytest.approx(np.linalg.norm(left) / np.linalg.norm(right), abs=0.006)
