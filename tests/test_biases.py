@@ -63,3 +63,27 @@ def test_borderline_errors_use_single_precision(spark):
     scored = spark.createDataFrame([(2.99999999999, 2.0)], "p double, truth double")
     found = {r["bucket"]: r["n"] for r in evaluate.error_histogram(scored, "p").collect()}
     assert found[1] == 1 and found[0] == 0
+
+
+def test_rows_stored_by_user_are_not_shuffled_for_the_user_biases(spark, work, monkeypatch):
+    rows = [(f"user-{u:05d}", f"b{(u * k) % 7}", float(1 + (u + k) % 5)) for u in range(4000) for k in (1, 2, 3)]
+    ratings = spark.createDataFrame(rows, "user_id string, business_id string, stars double")
+    ratings = work.table(ratings.dropDuplicates(["user_id", "business_id"]), "ratings")
+    expected = [{r[0]: r[1] for r in side.collect()} for side in biases.fit_biases(ratings, 3.0, work=work)]
+    plans, table = [], work.table
+
+    def watched(frame, name, *more):
+        if name == "user-bias":
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return table(frame, name, *more)
+
+    monkeypatch.setattr(work, "table", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "15000")
+    try:
+        found = [{r[0]: r[1] for r in side.collect()} for side in biases.fit_biases(ratings, 3.0, work=work)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for one, two in zip(expected, found, strict=True):
+        assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
+    assert len(plans) == 4 and all("Exchange hashpartitioning(user_id" not in p for p in plans[1:])
