@@ -132,7 +132,7 @@ FROM test LEFT JOIN u4 USING (user_id) LEFT JOIN b4 USING (business_id), g""")
 def write_predictions(spark, sf):
     """Written, then read back as text."""
     work = space(spark)
-    ratings = rating_rows(spark, sf)
+    ratings = work.table(rating_rows(spark, sf), "ratings")
     train = train_rows(ratings)
     mean = profile.global_mean(train).first()["global_mean"]
     history = work.table(profile.dedupe_ratings(train, line_order()), "history")

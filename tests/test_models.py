@@ -158,3 +158,18 @@ def test_factor_gaps_match_numpy(spark):
         left = sum(q[i] * (p[u] @ q[i] - r) for i, r in mine) + reg * len(mine) * p[u]
         right = sum(q[i] * r for i, r in mine)
         assert gaps[u] == pytest.approx(np.linalg.norm(left) / np.linalg.norm(right), abs=0.006)
+
+
+def test_queries_join_the_ratings_once(spark, tmp_path, monkeypatch):
+    from starblend.plans.catalog import io, models
+
+    spark.range(60).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(300).selectExpr(
+        "id % 60 AS l_orderkey", "id % 11 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 6 AS INT) AS l_linenumber",
+        "CAST(1 + id % 50 AS DOUBLE) AS l_quantity", "timestamp '2020-01-01' AS l_shipdate",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen, train_rows = [], io.train_rows
+    monkeypatch.setattr(io, "train_rows", lambda ratings: seen.append(ratings) or train_rows(ratings))
+    assert io.write_predictions(spark, str(tmp_path)).count() > 0
+    for rows in (*seen, models._Fitted(spark, str(tmp_path)).test):
+        assert rows.inputFiles() and not any("lineitem" in f for f in rows.inputFiles())
