@@ -85,6 +85,21 @@ def test_trees_beat_the_mean(planted):
     assert root_error(scored, "boosted") < 0.9 * spread
 
 
+def test_tree_rows_of_a_task_are_bounded_and_the_trees_the_same(spark, work, monkeypatch):
+    values = spark.range(0, 3000, 1, 1).selectExpr("double(id % 7) AS x", "double(id % 5) AS z", "double(id % 7 + id % 5) / 3 AS stars")
+    rows = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(work.table(values, "tree-rows"))
+    whole = boosted.fit_boosted(rows, 3, 2, 0.2, 1.0, 1.0)
+    monkeypatch.setattr(boosted, "ROWS_PER_TASK", 500)
+    dealt = []
+    fit = boosted.GBTRegressor.fit
+    monkeypatch.setattr(boosted.GBTRegressor, "fit", lambda self, rows: (dealt.append(rows), fit(self, rows))[1])
+    parted = boosted.fit_boosted(rows, 3, 2, 0.2, 1.0, 1.0)
+    sizes = [r["count"] for r in dealt[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 600
+    scores = [[r[0] for r in boosted.boosted_predict(rows, m).orderBy("x", "z", "stars").select("boosted").collect()] for m in (whole, parted)]
+    assert np.allclose(*scores, atol=1e-9)
+
+
 def inputs(spark, rows=400, seed=11):
     rng = np.random.default_rng(seed)
     x = rng.uniform(1, 5, (rows, 4))
