@@ -27,6 +27,8 @@ BITS = 18
 #: Rows learned from: fitting and calibration, by label.
 SAMPLE = {0: 3000, 1: 5000}
 FIT_SHARE = 0.75
+#: Bytes of text that the fit, which runs on the driver, works on at once: its arrays are some 60 times that.
+FIT_STEP_BYTES = 1 << 17
 
 _KIND = np.zeros(256, np.uint8)  # 0 letter, 1 upper case, 2 digit, 3 punctuation
 _KIND[65:91], _KIND[48:58] = 1, 2
@@ -57,9 +59,9 @@ def _place(hashes: np.ndarray, kind: int) -> np.ndarray:
     return _mix(hashes + np.uint64(kind * 0x632BE59BD9B4E019 % 2**64)) >> np.uint64(64 - BITS)
 
 
-def indicators(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """The sorted indicator places of each text."""
-    for lo, hi in steps(texts):
+def indicators(texts: list[bytes], limit: int = STEP_BYTES) -> Iterator[np.ndarray]:
+    """The sorted indicator places of each text; ``limit`` bytes of text are worked on at once."""
+    for lo, hi in steps(texts, limit):
         part = texts[lo:hi]
         joined = np.frombuffer(b"\n".join(part), np.uint8)
         words, first = word_hashes(part)
@@ -119,9 +121,9 @@ class Model:
     def __init__(self, ratio: np.ndarray, weights: np.ndarray, curve: np.ndarray):
         self.ratio, self.weights, self.curve = ratio, weights, curve
 
-    def margins(self, texts: list[bytes]) -> np.ndarray:
+    def margins(self, texts: list[bytes], limit: int = STEP_BYTES) -> np.ndarray:
         out = [
-            self.weights[r] @ self.ratio[r] / (np.linalg.norm(self.ratio[r]) or 1.0) + self.weights[-1] for r in indicators(texts)
+            self.weights[r] @ self.ratio[r] / (np.linalg.norm(self.ratio[r]) or 1.0) + self.weights[-1] for r in indicators(texts, limit)
         ]
         return np.array(out, dtype=float)
 
@@ -136,10 +138,12 @@ def fit(texts: dict[int, list[bytes]], counts: dict[int, int], pull: float = 0.2
     if not texts[0] or not texts[1]:
         return flat
     used = {c: int(np.ceil(FIT_SHARE * len(texts[c]))) for c in (0, 1)}
-    rows = {c: [r.astype(np.int32) for r in indicators(texts[c][: used[c]])] for c in (0, 1)}
+    rows = {c: [r.astype(np.int32) for r in indicators(texts[c][: used[c]], FIT_STEP_BYTES)] for c in (0, 1)}
     logs = []
     for c in (0, 1):
-        tally = smooth + np.bincount(np.concatenate(rows[c]), minlength=1 << BITS)
+        tally = np.full(1 << BITS, smooth)
+        for r in rows[c]:
+            tally[r] += 1  # a row names a place once
         logs.append(np.log(tally / tally.sum()))
     ratio = logs[1] - logs[0]
     y = np.r_[np.zeros(used[0]), np.ones(used[1])]
@@ -148,7 +152,7 @@ def fit(texts: dict[int, list[bytes]], counts: dict[int, int], pull: float = 0.2
     w[:-1] = (1 - pull) * np.abs(w[:-1]).mean() + pull * w[:-1] if pull < 1 else w[:-1]
     model = Model(ratio, w, np.array([1.0, 0.0]))
     rest = {c: texts[c][used[c] :] or texts[c] for c in (0, 1)}
-    margins = np.r_[model.margins(rest[0]), model.margins(rest[1])]
+    margins = np.r_[model.margins(rest[0], FIT_STEP_BYTES), model.margins(rest[1], FIT_STEP_BYTES)]
     y = np.r_[np.zeros(len(rest[0])), np.ones(len(rest[1]))]
     spread = margins.std() or 1.0
     curve = logistic(margins[:, None] / spread, y, class_weights(y, counts))

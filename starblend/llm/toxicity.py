@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -37,6 +38,7 @@ OWN_BYTES = 4 << 10
 TRAIN_WINDOWS = 60_000
 #: Toxic texts that a word start must stand in to be taken for more than chance.
 LEAST_TEXTS = 5
+LONGEST_START = 14
 THRESHOLDS = (2, 4, 6, 8, 10, 12)
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
@@ -66,24 +68,60 @@ def one_of_each(texts: list[bytes]) -> list[bytes]:
     return out
 
 
-def _stems(texts: list[bytes], longest: int = 14) -> Counter:
-    """In how many texts each word start of 4 bytes or more stands, the space before and after a word included."""
-    found: Counter = Counter()
-    for text in texts:
-        words = {b" " + w + b" " for w in text.lower().split()}
-        found.update({w[:k] for w in words for k in range(5, min(len(w), longest) + 1)})
-    return found
+class WordStarts:
+    """In how many texts each word start of 5 to ``LONGEST_START`` bytes stands, the space before and after a word included.
 
+    The distinct words are sorted, so the words of a start are a run.  A start is held as its size, the first word of its run and
+    its count, in numpy arrays: as strings the starts would take many times the memory of the texts.  They are in string order.
+    """
 
-def own_segments(toxic: list[bytes], ordinary: int, there: Counter, times: float = 40.0) -> list[bytes]:
+    def __init__(self, texts: list[bytes]):
+        numbers: dict[bytes, int] = {}
+        of_text = []
+        for text in texts:
+            words = {(b" " + w + b" ")[:LONGEST_START] for w in text.lower().split() if len(w) >= 3}
+            of_text.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int32))
+        self.words = sorted(numbers)
+        place = np.empty(len(numbers), np.int32)
+        place[[numbers[w] for w in self.words]] = np.arange(len(numbers), dtype=np.int32)
+        owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(w) for w in of_text])
+        word = place[np.concatenate(of_text)] if of_text else np.empty(0, np.int32)
+        del numbers, of_text
+        letters = np.array([b"", *self.words], f"S{LONGEST_START}").view(np.uint8).reshape(-1, LONGEST_START)
+        same = np.logical_and.accumulate(letters[1:] == letters[:-1], axis=1).sum(axis=1)  # bytes shared with the word before
+        length = np.array([len(w) for w in self.words], np.int32)
+        parts = []
+        for size in range(5, LONGEST_START + 1):
+            first = np.maximum.accumulate(np.where((length >= size) & (same < size), np.arange(len(length)), 0))
+            whole = length[word] >= size
+            seen = np.unique(first[word[whole]] * len(texts) + owner[whole])
+            found, count = np.unique(seen // max(1, len(texts)), return_counts=True)
+            parts.append((found, np.full(len(found), size), count))
+        first, size, count = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((size, first))
+        self.first, self.size, self.count = first[order], size[order], count[order]
+
+    def strings(self, rows: np.ndarray) -> list[bytes]:
+        return [self.words[i][:k] for i, k in zip(self.first[rows].tolist(), self.size[rows].tolist(), strict=True)]
+
+    def texts_with(self, start: bytes) -> int:
+        i = bisect_left(self.words, start)
+        lo, hi = np.searchsorted(self.first, [i, i + 1])
+        at = lo + np.searchsorted(self.size[lo:hi], len(start))
+        return int(self.count[at]) if at < hi and self.words[i].startswith(start) and self.size[at] == len(start) else 0
+
+
+def own_segments(toxic: list[bytes], ordinary: int, there: WordStarts, times: float = 40.0) -> list[bytes]:
     """Word starts that toxic texts share and ordinary texts hardly have, each as long as most of its texts agree.
 
     ``there`` has the word starts of as many ``ordinary`` texts.
     Those of the most toxic texts come first, and are taken until ``OWN_BYTES`` are full.
     """
-    here = _stems(toxic)
+    starts = WordStarts(toxic)
+    common = np.flatnonzero(starts.count >= LEAST_TEXTS)
+    here = dict(zip(starts.strings(common), starts.count[common].tolist(), strict=True))
     share = len(toxic) / max(1, ordinary)
-    kept = {s for s, n in here.items() if n >= LEAST_TEXTS and times * share * there[s] <= n}
+    kept = {s for s, n in here.items() if times * share * there.texts_with(s) <= n}
     longer = defaultdict(list)
     for s in kept:
         longer[s[:-1]].append(s)
@@ -106,17 +144,18 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
     except zs.ZstdError:  # too little text to train on
         shared = b"".join(samples)[:SHARED_BYTES]
     del samples
-    stems = _stems(ordinary)
+    starts = WordStarts(ordinary)
     common, room = [], COMMON_BYTES
     most = COMMON_BYTES // 6 + 1  # more of 6 bytes and longer do not fit
-    for s in heapq.nsmallest(most, (s for s in stems if len(s) >= 6), key=lambda s: (-stems[s] * len(s), s)):
+    rows = np.flatnonzero(starts.size >= 6)
+    for s in starts.strings(rows[np.argsort(-starts.count[rows] * starts.size[rows], kind="stable")[:most]]):
         if room < len(s):
             break
         common.append(s)
         room -= len(s)
-    own = b"".join(reversed(own_segments(toxic, len(ordinary), stems)))
-    rare = sorted(s for s, n in stems.items() if n == 1 and len(s) > 6)
-    other = b"".join(rare[:: max(1, len(rare) // max(1, len(own) // 6))])
+    own = b"".join(reversed(own_segments(toxic, len(ordinary), starts)))
+    rare = np.flatnonzero((starts.count == 1) & (starts.size > 6))
+    other = b"".join(starts.strings(rare[:: max(1, len(rare) // max(1, len(own) // 6))]))
     base = shared + b"".join(reversed(common))
     return base + own, base + other[: len(own)].ljust(len(own))
 

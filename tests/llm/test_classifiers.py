@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -87,3 +89,36 @@ def test_logistic_recovers_a_curve():
     x = rng.normal(size=(4000, 2))
     y = (rng.random(4000) < sigmoid(x @ [2.0, -1.0] + 0.5)).astype(float)
     assert np.allclose(logistic(x, y, np.ones(4000), 1e-6), [2.0, -1.0, 0.5], atol=0.2)
+
+
+def _made_texts(n, words, seed):
+    rng = np.random.default_rng(seed)
+    letters = rng.integers(97, 123, (n, words, 9), dtype=np.uint8)
+    return [b" ".join(bytes(w[: 1 + i % 9]) for i, w in enumerate(text)) for text in letters]
+
+
+def test_word_starts_count_texts():
+    texts = [b"", b"ab abc abcd", b"Abcd\x00x abcdefghijklmnopqrst abcd", b"abc\x00 xyz\nabc", *_made_texts(20, 60, 1)]
+    counts = Counter()
+    for text in texts:
+        counts.update({w[:k] for w in (b" " + w + b" " for w in text.lower().split()) for k in range(5, min(len(w), 14) + 1)})
+    starts = toxicity.WordStarts(texts)
+    found = starts.strings(np.arange(len(starts.count)))
+    assert found == sorted(counts) and starts.count.tolist() == [counts[s] for s in found]
+    asked = [*found, b" ab", b" nowhere", b"zzzzz", b" abcdx"]
+    assert [starts.texts_with(s) for s in asked] == [counts[s] for s in asked]
+    assert toxicity.WordStarts([]).texts_with(b" abcd") == 0
+
+
+def test_fits_take_little_memory_of_the_driver():
+    """The word starts of a text and the arrays of a fit are small multiples of the sampled bytes."""
+    texts = {c: _made_texts(500, 600, c) for c in (0, 1)}
+    tracemalloc.start()
+    nbsvm.fit(texts, {0: 500, 1: 500})
+    _, quality = tracemalloc.get_traced_memory()
+    tracemalloc.reset_peak()
+    toxicity.dictionaries(texts[1], texts[0])
+    _, toxic = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = sum(map(len, texts[0] + texts[1]))
+    assert quality < 15 * size and toxic < 45 * size  # 20 and 52 times with whole steps and starts held as strings
