@@ -287,3 +287,39 @@ def test_busy_items_make_the_same_pairs_in_several_tasks(spark, monkeypatch, blo
 
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
     assert rows(neighbours.item_similarities(ratings, 5.0, 0.0, heavy, busy=busy)) == rows(sims)
+
+
+def hot_sample(spark, work):
+    """Two users who rated nearly everything, sixty others, and stars that are missing."""
+    rng = np.random.default_rng(5)
+    rows = [(u, i, float(rng.integers(1, 6))) for u in range(60) for i in rng.choice(80, rng.integers(2, 9), replace=False)]
+    rows += [(u, i, None if i % 11 == 0 else float(rng.integers(1, 6))) for u in (100, 101, 102) for i in range(80) if rng.random() < 0.9]
+    rows += [(None, 3, 2.0), (4, None, 1.0), (7, 3, None), (7, 5, None)]
+    rows = [(*(None if k is None else int(k) for k in r[:2]), r[2]) for r in rows]
+    return work.table(spark.createDataFrame(rows, "user_id long, business_id long, stars double"), "hot")
+
+
+@pytest.mark.parametrize("raters", [100_000, 10])
+def test_looked_up_raters_give_the_same_similarities(spark, work, monkeypatch, raters):
+    ratings = hot_sample(spark, work)
+    plain = neighbours.item_similarities(ratings, 5.0)
+    monkeypatch.setattr(neighbours, "RATERS_PER_SPLIT", raters)
+    monkeypatch.setattr(neighbours, "tails_pay", lambda *_: True)
+    found = neighbours.similarities_of(ratings, work, 5.0, block=9)
+
+    def rows(frame):
+        return {(r.item_a, r.item_b): (r.n, round(r.sim, 9)) for r in frame.collect()}
+
+    assert len(rows(plain)) > 1000 and rows(found) == rows(plain)
+
+
+def test_raters_are_looked_up_where_the_pairs_lie(spark, work, monkeypatch):
+    """Proposed pairs are neither stored nor moved: their rows lie with the item's lists, and nothing is joined by pair."""
+    monkeypatch.setattr(neighbours, "PAIRS_PER_TASK", 500)
+    stored = []
+    monkeypatch.setattr(type(work), "table", lambda self, df, name, rows=None, keep=type(work).table: stored.append(df.columns) or keep(self, df, name, rows))
+    ratings = hot_sample(spark, work)
+    monkeypatch.setattr(neighbours, "tails_pay", lambda *_: True)
+    plan = neighbours.similarities_of(ratings, work, block=9)._jdf.queryExecution().executedPlan().toString()
+    assert "looked" in plan and "hashpartitioning(item_a" in plan and not re.search(r"hashpartitioning\(item_a#\d+L?, item_b#\d+", plan)
+    assert not re.search(r"hashpartitioning\([^)]*user_id#\d+L?, item_", plan) and not any("item_b" in columns for columns in stored)
