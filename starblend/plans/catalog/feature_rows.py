@@ -219,9 +219,11 @@ def pca_project(spark, sf):
     )
 
 
-def _feature_tables(spark, sf):
-    """User and business tables without component scores, and the training rows."""
-    train = tables.train_rows(tables.rating_rows(spark, sf))
+def _feature_tables(spark, sf, work):
+    """The ratings, joined and stored once, and user and business tables without component scores."""
+    line = F.struct("row_id.l_orderkey", "row_id.l_linenumber").alias("row_id")
+    ratings = work.table(tables.rating_rows(spark, sf).select("user_id", "business_id", "stars", line), "ratings")
+    train = tables.train_rows(ratings)
     users = features.user_columns(tables.side_users(spark, sf)).drop("compliments", "row_id")
     # every tenth customer and part is missing from its file: unknown ids take the defaults
     users = users.where(F.col("user_id") % 10 > 0)
@@ -234,7 +236,7 @@ def _feature_tables(spark, sf):
         businesses, tables.side_checkins(spark, sf), tables.side_tips(spark, sf),
         tables.side_photos(spark, sf), profile.item_counts(train),
     )
-    return train, users, businesses
+    return ratings, users, businesses
 
 
 def _feature_sql(rows: str) -> str:
@@ -274,8 +276,8 @@ _LOGS = [f for f in features.FEATURES if "_log_" in f]
 @query(_feature_sql("test"))
 def fill_defaults(spark, sf):
     """Feature columns of the held-out pairs."""
-    _, users, businesses = _feature_tables(spark, sf)
-    pairs = tables.test_rows(tables.rating_rows(spark, sf)).select(
+    ratings, users, businesses = _feature_tables(spark, sf, space(spark))
+    pairs = tables.test_rows(ratings).select(
         "user_id", "business_id", "row_id.l_orderkey", "row_id.l_linenumber"
     )
     joined = pairs.join(users, "user_id", "left").join(businesses, "business_id", "left")
@@ -284,11 +286,17 @@ def fill_defaults(spark, sf):
 
 @query(_feature_sql("train"))
 def assemble_features(spark, sf):
-    """The feature vector of the training rows, taken apart again by position."""
-    train, users, businesses = _feature_tables(spark, sf)
-    rows = train.select("user_id", "business_id", "row_id.l_orderkey", "row_id.l_linenumber")
+    """The feature vector of the training rows, taken apart again by position.
+
+    As in the pipeline the columns are stored and assembled from there: in one stage with the join, the code for all
+    columns gets too long to be compiled, and a row takes several times as long.
+    """
+    work = space(spark)
+    ratings, users, businesses = _feature_tables(spark, sf, work)
+    rows = tables.train_rows(ratings).select("user_id", "business_id", "row_id.l_orderkey", "row_id.l_linenumber")
     joined = rows.join(users, "user_id", "left").join(businesses, "business_id", "left")
-    vectors = features.assemble_features(features.fill_defaults(joined)).withColumn(
+    filled = work.table(features.fill_defaults(joined), "train-features")
+    vectors = features.assemble_features(filled).withColumn(
         "a", vector_to_array("features")
     )
     columns = [

@@ -126,3 +126,27 @@ def test_counts_without_a_business_line(spark):
     assert found["b2"]["b_log_tip_count"] == pytest.approx(np.log(3))
     assert found["b2"]["b_log_tip_likes"] == pytest.approx(np.log(5))
     assert found["b3"]["b_log_photo_count"] == pytest.approx(np.log(3))
+
+
+def test_registered_feature_rows_are_stored_before_they_are_assembled(spark, tmp_path):
+    """The ratings are joined once, and the columns are taken apart in a stage without the joins."""
+    from starblend.plans.catalog import feature_rows
+
+    tables = {
+        "lineitem": "SELECT id AS l_orderkey, id % 7 + 1 AS l_partkey, id % 5 + 1 AS l_suppkey, 1 AS l_linenumber,"
+                    " double(id % 50 + 1) AS l_quantity, TIMESTAMP '2020-01-01' AS l_shipdate FROM range(60)",
+        "orders": "SELECT id AS o_orderkey, id % 12 + 1 AS o_custkey FROM range(60)",
+        "customer": "SELECT id AS c_custkey, int(id % 3) AS c_nationkey, 'A' AS c_mktsegment FROM range(1, 9)",
+        "part": "SELECT id AS p_partkey, 'red blue' AS p_name, 'B' AS p_brand, 'T' AS p_type, int(id % 9) AS p_size FROM range(1, 6)",
+        "events": "SELECT id % 5 + 1 AS user_id, '{\"k\": 2}' AS props FROM range(20)",
+    }
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = feature_rows.assemble_features(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    kept = {(i % 12 + 1, i % 5 + 1, i) for i in range(60) if ((i % 12 + 1) * 31 + (i % 5 + 1) * 17) % 10}
+    rows = found.collect()
+    assert {(r.user_id, r.business_id, r.l_orderkey) for r in rows} == kept
+    assert {r.b_log_checkins for r in rows} == {round(float(np.log(9)), 6)}
+    assert all(r.u_avg_stars == (3.5 if r.user_id > 8 else 1.5 + r.user_id % 4) for r in rows)
