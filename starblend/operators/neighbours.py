@@ -24,6 +24,9 @@ ROWS_PER_SPLIT = 4_000_000
 PAIRS_PER_TASK = 1_000_000
 RATERS_PER_SPLIT = 100_000
 
+# List entries, one for each pair, that one task should write: its input is far smaller, and with all of them it would spill.
+ENTRIES_PER_TASK = 4_000_000
+
 # Rows of one user that are paired in one piece; the rows of a user with more are paired block by block.
 USER_BLOCK = 2_000
 
@@ -60,12 +63,13 @@ def busy_items(ratings: DataFrame) -> DataFrame | None:
     return None if found.isEmpty() else found
 
 
-def _item_lists(ratings: DataFrame, heavy: DataFrame | None) -> DataFrame:
+def _item_lists(ratings: DataFrame, heavy: DataFrame | None, tasks: int | None = None) -> DataFrame:
     """``user_id, item_a, a, items, stars``: each rating with the user's ratings of items beyond it, as two arrays.
 
     The rows of a ``heavy`` user are dealt to blocks, and each row gets one list for each block, so a list has about
     ``USER_BLOCK`` entries and one key about block rows however many items the user rated.  Where ``ratings`` carry the
     columns of ``tail_raters``, a third array ``looked`` has for each entry the stars of the raters looked up for its pair.
+    The lists of the other users are made in as many ``tasks`` if given.
     """
     looks = [c for c in _TAIL_COLUMNS if c in ratings.columns]
     rows = ratings.select("user_id", "business_id", "stars", *looks).where("user_id IS NOT NULL AND business_id IS NOT NULL")
@@ -79,6 +83,7 @@ def _item_lists(ratings: DataFrame, heavy: DataFrame | None) -> DataFrame:
         )
 
     light = rows if heavy is None else rows.join(heavy, "user_id", "left_anti")
+    light = light if tasks is None else light.repartition(tasks, "user_id")
     rated = light.groupBy("user_id").agg(F.sort_array(F.collect_list(entry)).alias("rated"))
     own = rated.select("user_id", "rated", F.posexplode("rated").alias("place", "own"))
     found = lists(own, F.slice("rated", F.col("place") + 2, F.size("rated")))
@@ -99,7 +104,8 @@ def _pair_parts(ratings: DataFrame, heavy: DataFrame | None, busy: DataFrame | N
     made = counts.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
     tasks = max(1, -int(-made // PAIRS_PER_TASK))
 
-    lists = _item_lists(ratings, heavy)
+    makers = max(-int(-made // ENTRIES_PER_TASK), min(tasks, ratings.sparkSession.sparkContext.defaultParallelism))
+    lists = _item_lists(ratings, heavy, makers)
     looked = [c for c in lists.columns if c == "looked"]
     listed = ["items", "stars", *looked]
 

@@ -323,3 +323,13 @@ def test_raters_are_looked_up_where_the_pairs_lie(spark, work, monkeypatch):
     plan = neighbours.similarities_of(ratings, work, block=9)._jdf.queryExecution().executedPlan().toString()
     assert "looked" in plan and "hashpartitioning(item_a" in plan and not re.search(r"hashpartitioning\(item_a#\d+L?, item_b#\d+", plan)
     assert not re.search(r"hashpartitioning\([^)]*user_id#\d+L?, item_", plan) and not any("item_b" in columns for columns in stored)
+
+
+def test_lists_are_made_in_tasks_of_bounded_output(spark, work, monkeypatch):
+    """The tasks that make the lists are counted by what they write, not by what they read."""
+    ratings, _ = sample(spark, 2, 40, 30, 0.9)
+    made = neighbours.item_pairs(ratings).count()
+    monkeypatch.setattr(neighbours, "PAIRS_PER_TASK", 10 * made)
+    monkeypatch.setattr(neighbours, "ENTRIES_PER_TASK", made // 20)
+    plan = neighbours.item_similarities(ratings)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(user_id#\d+, 2[0-9]\), REPARTITION_BY_NUM", plan)
