@@ -333,3 +333,31 @@ def test_lists_are_made_in_tasks_of_bounded_output(spark, work, monkeypatch):
     monkeypatch.setattr(neighbours, "ENTRIES_PER_TASK", made // 20)
     plan = neighbours.item_similarities(ratings)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(user_id#\d+, 2[0-9]\), REPARTITION_BY_NUM", plan)
+
+
+def test_lists_carry_short_codes(spark, monkeypatch):
+    """An entry of a list is an int and a byte where ids and stars allow it, and not an id and a double."""
+    made = []
+    monkeypatch.setattr(neighbours, "_item_lists", lambda *given, keep=neighbours._item_lists: made.append(keep(*given)) or made[-1])
+    rows = [(u, 10**12 + b, 1 + 0.4 * ((u * b) % 11)) for u in range(30) for b in range(6)]
+    neighbours.item_pairs(spark.createDataFrame(rows, "user_id long, business_id long, stars double"))
+    assert {"array<int>", "array<tinyint>"} <= set(dict(made[0].dtypes).values())
+
+
+@pytest.mark.parametrize(
+    ("apart", "levels"), [(-(2**31) + 4, 5), (2**31 - 8, neighbours.STAR_LEVELS), (2**31 - 7, neighbours.STAR_LEVELS + 1), (2**60, 7), (0, None)]
+)
+def test_coded_lists_make_the_same_pairs(spark, monkeypatch, apart, levels):
+    """Ids far apart, negative or null, many different stars, and stars that are null or not a number."""
+    monkeypatch.setattr(neighbours, "RATERS_PER_SPLIT", 9)
+    items = [-7, 0, 3, None, apart]
+    stars = [None, *[k / 7 for k in range((levels or 1) - 1)], float("nan") if apart > 2**31 else -1.0] if levels else [None]
+    rated = [(u, b, stars[(7 * u + 3 * k) % len(stars)]) for u in range(60) for k, b in enumerate(items)]
+    rated += [(0, 3, stars[-1]), (None, 0, stars[-1]), (None, 3, stars[-1])]
+    ratings = spark.createDataFrame(rated, "user_id long, business_id long, stars double")
+    mine = ratings.alias("x").join(ratings.alias("y"), "user_id").where("x.business_id < y.business_id").selectExpr(
+        "x.business_id AS item_a", "y.business_id AS item_b", "x.stars AS a", "y.stars AS b"
+    )
+    for heavy in (None, neighbours.heavy_users(ratings, 2)):
+        found = neighbours.item_pairs(ratings, heavy, neighbours.busy_items(ratings))
+        assert found.dtypes == mine.dtypes and sorted(map(repr, found.collect())) == sorted(map(repr, mine.collect()))
