@@ -71,7 +71,8 @@ def _item_lists(ratings: DataFrame, heavy: DataFrame | None, tasks: int | None =
     """``user_id, item_a, a, items, stars``: each rating with the user's ratings of items beyond it, as two arrays.
 
     The rows of a ``heavy`` user are dealt to blocks, and each row gets one list for each block, so a list has about
-    ``USER_BLOCK`` entries and one key about block rows however many items the user rated.  Where ``ratings`` carry the
+    ``USER_BLOCK`` entries and one key about block rows however many items the user rated.  A block travels as one list to each pair
+    of blocks that it is in, and the rows of either are paired with the other's there.  Where ``ratings`` carry the
     columns of ``tail_raters``, a third array ``looked`` has for each entry the stars of the raters looked up for its pair.
     The lists of the other users are made in as many ``tasks`` if given.
     """
@@ -94,12 +95,18 @@ def _item_lists(ratings: DataFrame, heavy: DataFrame | None, tasks: int | None =
     if heavy is None:
         return found
     dealt = rows.join(heavy, "user_id").withColumn("_own", F.pmod(F.xxhash64("business_id", "stars"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    blocks = dealt.groupBy("user_id", "blocks", F.col("_own").alias("_other")).agg(F.collect_list(entry).alias("rated"))
-    own = dealt.select("user_id", entry.alias("own"), "_own", every.alias("_other")).join(
-        blocks.select("user_id", "_other", "rated", every.alias("_own")), ["user_id", "_own", "_other"]
-    )
-    return found.unionByName(lists(own, F.filter("rated", lambda other: other["business_id"] > F.col("own.business_id"))))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other")
+    blocks = dealt.groupBy("user_id", "blocks", "_own").agg(F.collect_list(entry).alias("rated")).select("user_id", "_own", "rated", every)
+    ends = [F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high")]
+    met = blocks.groupBy("user_id", *ends).agg(F.collect_list("rated").alias("met"))  # two blocks, or one with itself
+    one, other = F.element_at("met", 1), F.element_at("met", -1)
+
+    def side(own: Column, rest: Column) -> Column:
+        return F.struct(own.alias("rated"), rest.alias("others"))
+
+    sides = F.when(F.col("_low") == F.col("_high"), F.array(side(one, one))).when(F.size("met") == 2, F.array(side(one, other), side(other, one)))
+    own = met.select("user_id", F.explode(sides).alias("_side")).select("user_id", "_side.others", F.explode("_side.rated").alias("own"))
+    return found.unionByName(lists(own, F.filter("others", lambda other: other["business_id"] > F.col("own.business_id"))))
 
 
 class _Codes:

@@ -361,3 +361,13 @@ def test_coded_lists_make_the_same_pairs(spark, monkeypatch, apart, levels):
     for heavy in (None, neighbours.heavy_users(ratings, 2)):
         found = neighbours.item_pairs(ratings, heavy, neighbours.busy_items(ratings))
         assert found.dtypes == mine.dtypes and sorted(map(repr, found.collect())) == sorted(map(repr, mine.collect()))
+
+
+def test_blocks_travel_as_lists_to_their_pairs(spark):
+    """A heavy user's rows are not copied for each block: a block goes as one list to each pair of blocks, without a join."""
+    ratings, _ = sample(spark, 3, 8, 9, 0.6)
+    ratings = ratings.unionByName(ratings.limit(5))
+    lists = neighbours._item_lists(ratings, neighbours.heavy_users(ratings, 2))
+    plan = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Join[^\n]*_other", plan) and len(re.findall(r"Join (?!LeftAnti)", plan)) == 1
+    assert lists.agg(F.sum(F.size("items"))).first()[0] >= neighbours.item_pairs(ratings).count()
