@@ -371,3 +371,14 @@ def test_blocks_travel_as_lists_to_their_pairs(spark):
     plan = lists._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"Join[^\n]*_other", plan) and len(re.findall(r"Join (?!LeftAnti)", plan)) == 1
     assert lists.agg(F.sum(F.size("items"))).first()[0] >= neighbours.item_pairs(ratings).count()
+
+
+def test_raters_of_a_pair_are_looked_up_without_lambdas(spark):
+    one, other = F.struct(*[F.col(f"{c}1").alias(c) for c in neighbours._TAIL_COLUMNS]), F.struct(*[F.col(f"{c}2").alias(c) for c in neighbours._TAIL_COLUMNS])
+    rows = [([7, 9], [5, 7, 9], [1.0, 2.0, None], [9, 5], [5, 9], [3.0, 4.0]), ([], [], [], [5], [5], [2.0])]
+    frame = spark.createDataFrame(rows, ", ".join(f"{c}{k} array<{t}>" for k in (1, 2) for c, t in zip(neighbours._TAIL_COLUMNS, ("bigint", "bigint", "double"))))
+    looked = frame.select(neighbours._looked_up(one, other).alias("looked"))
+    assert "lambda" not in looked._jdf.queryExecution().optimizedPlan().toString()
+    first, second = (r["looked"] for r in looked.collect())
+    assert first["more"] == 2 and (first["a1"], first["b1"]) == (None, 4.0) and (first["a3"], first["b3"]) == (1.0, 3.0)
+    assert first["a0"] is first["a2"] is None and second["more"] == 0
